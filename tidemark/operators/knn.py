@@ -67,7 +67,6 @@ def _build_cells(points: DataFrame, levels: int, x0: float, y0: float, unit: flo
             F.max("_y").alias("_y1"),
         )
     )
-    cells = materialize(cells, "cells")
     split = cells.where((F.col("_level") > 0) & (F.col("_n") > leaf_rows))
     opened = split.select(F.col("_node").alias("_parent"))
     kept = cells.join(opened, "_parent", "left_semi").unionByName(cells.where(F.col("_level") == levels))
@@ -128,13 +127,16 @@ def nearest(
         unit = (max(x1 - x0, y1 - y0) or 1.0) / 4**levels
         tree = _build_cells(points, levels, x0, y0, unit, leaf_rows)
         lowest = tree.where("_leaf").agg(F.min("_level")).first()[0]
-        leaves = _walk(asked, tree, levels, lowest, k, query_id)
+        # Few input bytes become many pairs: fix the number of tasks, or the
+        # planner would merge them by input size.
+        tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
+        leaves = _walk(asked.repartition(tasks, query_id), tree, levels, lowest, k, query_id)
         tagged = (
             _cell_frame(points, levels, x0, y0, unit)
             .join(tree.where("_leaf").select("_node"), "_node", "left_semi")
             .drop("_level", "_parent")
         )
-        pairs = leaves.join(tagged, "_node").drop("_node")
+        pairs = leaves.join(tagged, "_node").where(d2 <= F.col("_radius")).drop("_node", "_radius")
     return (
         pairs.withColumn("d2", d2)
         .withColumn("rank", F.row_number().over(ranked))
@@ -145,25 +147,31 @@ def nearest(
 
 def _walk(asked: DataFrame, tree: DataFrame, levels: int, lowest: int, k: int, query_id: str) -> DataFrame:
     """Leaf cells that can hold one of the k nearest points, per query."""
-    facts = ["_n", "_x0", "_x1", "_y0", "_y1"]
-    below = tree.where(F.col("_level") < levels).select(F.col("_parent").alias("_at"), "_node", *facts)
-    stay = tree.where("_leaf").select(F.col("_node").alias("_at"), "_node", *facts)
+    facts = ["_node", "_n", "_x0", "_x1", "_y0", "_y1"]
+    below = tree.where(F.col("_level") < levels).select(F.col("_parent").alias("_at"), *facts)
+    stay = tree.where("_leaf").select(F.col("_node").alias("_at"), *facts)
     steps = below.unionByName(stay)
-    root = F.shiftleft(F.lit(levels).cast("bigint"), 56)
-    front = asked.withColumn("_node", root)
+    # The top cell has at most 16 children: they start the walk as literals.
+    start = tree.where(F.col("_level") == levels - 1).select(*facts).collect()
+    first = F.array(*[F.struct(*[F.lit(row[f]).alias(f) for f in facts]) for row in start])
+    front = asked.select("*", F.lit(float("inf")).alias("_radius"), F.inline(first))
     mine = Window.partitionBy(query_id)
     growing = mine.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0)
     qx, qy = F.col("_qx"), F.col("_qy")
-    for _ in range(levels - lowest):
-        front = front.withColumnRenamed("_node", "_at").join(steps, "_at").drop("_at")
+    for step in range(levels - lowest):
+        if step:
+            front = front.withColumnRenamed("_node", "_at").join(steps, "_at").drop("_at")
         gx, gy = _gap(qx, F.col("_x0"), F.col("_x1")), _gap(qy, F.col("_y0"), F.col("_y1"))
         rx, ry = _reach(qx, F.col("_x0"), F.col("_x1")), _reach(qy, F.col("_y0"), F.col("_y1"))
         front = (
             front.withColumns({"_near": gx * gx + gy * gy, "_far": rx * rx + ry * ry})
+            # The radius of the level above still holds: drop most cells before sorting.
+            .where(F.col("_near") <= F.col("_radius"))
             .withColumn("_held", F.sum("_n").over(growing))
-            .withColumn("_radius", F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(mine))
-            .where(F.col("_radius").isNull() | (F.col("_near") <= F.col("_radius")))
-            .select(query_id, "_qx", "_qy", "_node")
+            .withColumn("_enough", F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(mine))
+            .withColumn("_radius", F.least("_radius", "_enough"))
+            .where(F.col("_near") <= F.col("_radius"))
+            .select(query_id, "_qx", "_qy", "_radius", "_node")
         )
     return front
 

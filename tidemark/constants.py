@@ -107,3 +107,15 @@ SHIFT_METRES = (-446.448, 125.157, -542.060)
 SHIFT_ARCSEC = (-0.1502, -0.2470, -0.8421)
 SHIFT_SCALE = 20.4894e-6
 EARTH_RADIUS = 6371009.0
+
+# Marker colour per risk number; any other number is black.
+RISK_COLOURS = {
+    0: "lightgray",
+    1: "green",
+    2: "yellow",
+    3: "orange",
+    4: "red",
+    5: "darkred",
+    6: "purple",
+}
+OTHER_RISK_COLOUR = "black"

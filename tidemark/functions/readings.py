@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed pattern of a rainfall measure id: station, qualifier, unit.
-MEASURE_ID = r"^.*/(.*)-rainfall-(.*)-t-15_min-(.*)/.*"
+# Fixed pattern of a rainfall measure id: station, qualifier, unit. A unit
+# never holds a slash, whatever number of path parts follows it.
+MEASURE_ID = r"^.*/(.*)-rainfall-(.*)-t-15_min-([^/]*)/.*"
 
 
 def number_or_null(value: Column) -> Column:

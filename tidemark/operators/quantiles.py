@@ -15,7 +15,6 @@ that does hold the rank, so the answer stays exact.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,10 +149,12 @@ def modes(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataF
     if keys:
         counts = counts.na.drop(subset=list(keys))
     rank = F.struct((-F.col("count")).alias("c"), F.col("_m_val").alias("v"))
-    picks = [F.min(F.when(F.col("_m_col") == c, rank))["v"].alias(c) for c in cols]
+    picks = [
+        F.min(F.when(F.col("_m_col") == c, rank))["v"].cast(df.schema[c].dataType).alias(c) for c in cols
+    ]
     return counts.groupBy(*keys).agg(*picks)
 
 
-def attach_scalars(df: DataFrame, *rows: DataFrame) -> DataFrame:
-    """Add the columns of one-row tables (aggregates without keys) to every row."""
-    return reduce(lambda left, row: left.join(F.broadcast(row)), rows, df)
+def scalars(table: DataFrame) -> dict:
+    """The single row of a key-less aggregate as plain values for literals."""
+    return table.first().asDict()

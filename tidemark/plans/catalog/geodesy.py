@@ -40,7 +40,7 @@ def _shift(source: str, out: str, to_wgs84: bool) -> str:
     a, b = (g.AIRY, g.GRS) if to_wgs84 else (g.GRS, g.AIRY)
     nu = _nu("la", a)
     parts = [
-        f"{out}_x as (select * exclude (la, lo), ({nu} + {_n(a.height)}) * cos(la) * cos(lo) as x,"
+        f"{out}_x as materialized (select * exclude (la, lo), ({nu} + {_n(a.height)}) * cos(la) * cos(lo) as x,"
         f" ({nu} + {_n(a.height)}) * cos(la) * sin(lo) as y,"
         f" ((1 - {_n(a.e2)}) * {nu} + {_n(a.height)}) * sin(la) as z from {source})"
     ]
@@ -53,41 +53,41 @@ def _shift(source: str, out: str, to_wgs84: bool) -> str:
         xyz, plus = ["x", "y", "z"], [_n(v) for v in t]
     rows = [f"{plus[i]} + " + " + ".join(f"{_n(m[i][j])} * {xyz[j]}" for j in range(3)) for i in range(3)]
     parts.append(
-        f"{out}_r as (select * exclude (x, y, z), {rows[0]} as x, {rows[1]} as y, {rows[2]} as z from {out}_x)"
+        f"{out}_r as materialized (select * exclude (x, y, z), {rows[0]} as x, {rows[1]} as y, {rows[2]} as z from {out}_x)"
     )
     parts.append(
-        f"{out}_0 as (select *, sqrt(x * x + y * y) as p, atan2(z, sqrt(x * x + y * y) * (1 - {_n(b.e2)})) as la"
+        f"{out}_0 as materialized (select *, sqrt(x * x + y * y) as p, atan2(z, sqrt(x * x + y * y) * (1 - {_n(b.e2)})) as la"
         f" from {out}_r)"
     )
     turns = 8
     for i in range(turns):
         parts.append(
-            f"{out}_{i + 1} as (select * exclude (la), atan2(z + {_n(b.e2)} * {_nu('la', b)} * sin(la), p) as la"
+            f"{out}_{i + 1} as materialized (select * exclude (la), atan2(z + {_n(b.e2)} * {_nu('la', b)} * sin(la), p) as la"
             f" from {out}_{i})"
         )
-    parts.append(f"{out} as (select * exclude (x, y, z, p, la), la, atan2(y, x) as lo from {out}_{turns})")
+    parts.append(f"{out} as materialized (select * exclude (x, y, z, p, la), la, atan2(y, x) as lo from {out}_{turns})")
     return ",\n".join(parts)
 
 
 def wgs84_sql(source: str) -> str:
     """CTEs that add latitude and longitude to ``source(easting, northing)``."""
     axis = g.AIRY.axis
-    parts = [f"geo_0 as (select *, {_n(g.LAT0)} + (northing + 100000) / {_n(axis)} as ph from {source})"]
+    parts = [f"geo_0 as materialized (select *, {_n(g.LAT0)} + (northing + 100000) / {_n(axis)} as ph from {source})"]
     turns = 9
     for i in range(turns):
         parts.append(
-            f"geo_{i + 1} as (select * exclude (ph), ph + (northing + 100000 - {_arc('ph')}) / {_n(axis)} as ph"
+            f"geo_{i + 1} as materialized (select * exclude (ph), ph + (northing + 100000 - {_arc('ph')}) / {_n(axis)} as ph"
             f" from geo_{i})"
         )
     nu = _nu("ph", g.AIRY)
     parts.append(
-        f"geo_n as (select *, {nu} as nu, {_n(axis * (1 - g.AIRY.e2))}"
+        f"geo_n as materialized (select *, {nu} as nu, {_n(axis * (1 - g.AIRY.e2))}"
         f" / pow(1 - {_n(g.AIRY.e2)} * sin(ph) * sin(ph), 1.5) as rho, tan(ph) as t, 1 / cos(ph) as sec,"
         f" easting - 400000.0e0 as de from geo_{turns})"
     )
-    parts.append("geo_m as (select *, nu / rho - 1 as eta2 from geo_n)")
+    parts.append("geo_m as materialized (select *, nu / rho - 1 as eta2 from geo_n)")
     parts.append(
-        "geo_s as (select * exclude (ph, nu, rho, t, sec, de, eta2),"
+        "geo_s as materialized (select * exclude (ph, nu, rho, t, sec, de, eta2),"
         " ph - t / (2 * rho * nu) * pow(de, 2)"
         " + t / (24 * rho * pow(nu, 3)) * (5 + 3 * t * t + eta2 - 9 * t * t * eta2) * pow(de, 4)"
         " - t / (720 * rho * pow(nu, 5)) * (61 + 90 * t * t + 45 * pow(t, 4)) * pow(de, 6) as la,"
@@ -98,23 +98,23 @@ def wgs84_sql(source: str) -> str:
     )
     parts.append(_shift("geo_s", "geo_w", True))
     parts.append(
-        f"{WGS84_SQL} as (select * exclude (la, lo), degrees(la) as latitude, degrees(lo) as longitude from geo_w)"
+        f"{WGS84_SQL} as materialized (select * exclude (la, lo), degrees(la) as latitude, degrees(lo) as longitude from geo_w)"
     )
     return ",\n".join(parts)
 
 
 def osgb36_sql(source: str) -> str:
     """CTEs that add easting and northing to ``source(latitude, longitude)``."""
-    parts = [f"grid_a as (select *, radians(latitude) as la, radians(longitude) as lo from {source})"]
+    parts = [f"grid_a as materialized (select *, radians(latitude) as la, radians(longitude) as lo from {source})"]
     parts.append(_shift("grid_a", "grid_w", False))
     parts.append(
-        f"grid_n as (select *, {_nu('la', g.AIRY)} as nu, {_n(g.AIRY.axis * (1 - g.AIRY.e2))}"
+        f"grid_n as materialized (select *, {_nu('la', g.AIRY)} as nu, {_n(g.AIRY.axis * (1 - g.AIRY.e2))}"
         f" / pow(1 - {_n(g.AIRY.e2)} * sin(la) * sin(la), 1.5) as rho, tan(la) as t, lo - {_n(g.LON0)} as dl"
         " from grid_w)"
     )
-    parts.append("grid_m as (select *, nu / rho - 1 as eta2 from grid_n)")
+    parts.append("grid_m as materialized (select *, nu / rho - 1 as eta2 from grid_n)")
     parts.append(
-        f"{OSGB36_SQL} as (select * exclude (la, lo, nu, rho, t, dl, eta2),"
+        f"{OSGB36_SQL} as materialized (select * exclude (la, lo, nu, rho, t, dl, eta2),"
         " 400000 + nu * cos(la) * dl + nu / 6 * pow(cos(la), 3) * (nu / rho - t * t) * pow(dl, 3)"
         " + nu / 120 * pow(cos(la), 5) * (5 - 18 * t * t + pow(t, 4) + 14 * eta2 - 58 * t * t * eta2) * pow(dl, 5)"
         " as easting,"
@@ -250,8 +250,8 @@ def geo4_back(v: Views):
 
 @query(
     "geo5_angle_forms",
-    """with d as (select stationReference, latitude, cast(floor(latitude) as bigint) as deg,
-          (latitude - floor(latitude)) * 60 as m from stations),
+    """with o as materialized (select stationReference, latitude + 0.0001e0 as la from stations),
+        d as (select stationReference, cast(floor(la) as bigint) as deg, (la - floor(la)) * 60 as m from o),
         e as (select *, cast(floor(m) as bigint) as mins, round((m - floor(m)) * 60, 2) as secs from d)
         select stationReference, deg as degrees, mins as minutes, secs as seconds,
           round(deg + mins / 60.0e0 + secs / 3600.0e0, 6) as back,
@@ -259,8 +259,9 @@ def geo4_back(v: Views):
     ("stations",),
 )
 def geo5(v: Views):
-    # A hair is added so that whole minutes survive the trip through radians.
-    df = v.stations.select("stationReference", F.inline_outer(F.array(radians_to_dms(F.radians(F.col("latitude") + 1e-9)))))
+    # The offset keeps whole minutes off the rounding edge.
+    angle = F.radians(F.col("latitude") + 0.0001)
+    df = v.stations.select("stationReference", F.inline(F.array(radians_to_dms(angle))))
     df = df.withColumn("seconds", F.round("seconds", 2))
     parts = [F.col(name).cast("double") for name in ("degrees", "minutes", "seconds")]
     return df.select(

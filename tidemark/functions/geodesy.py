@@ -2,7 +2,9 @@
 
 The jobs work in stages of ``withColumns``. Catalyst keeps such stages apart
 when a column is used more than once, so the plan stays linear in the number
-of stages and all of it runs inside one generated loop, without Python.
+of stages and all of it runs inside generated code, without Python. The results
+leave through a generator: a later filter on them stops there, where pushing it
+down would paste every stage into the next and blow up the plan.
 
 Formulas: Ordnance Survey, "A guide to coordinate systems in Great Britain".
 The fixed-point loops of that guide converge by a factor of about 150 per
@@ -108,8 +110,34 @@ def _horner(x2: Column, *factors) -> Column:
     return total
 
 
+def _sealed(df: DataFrame, results: dict[str, Column], scratch: list[str]) -> DataFrame:
+    """Attach results behind a generator and drop the scratch columns."""
+    names = {f"_gd_out{i}": name for i, name in enumerate(results)}
+    keep = [F.col(f"`{n}`") for n in df.columns if n not in results and n not in scratch]
+    fields = [col.alias(tag) for tag, col in zip(names, results.values())]
+    return df.select(*keep, F.inline(F.array(F.struct(*fields)))).withColumnsRenamed(names)
+
+
 def to_cartesian(df: DataFrame, lat: str, lon: str, out: tuple[str, str, str], figure: Figure) -> DataFrame:
     """Add x, y, z of a geodetic position given in radians."""
+    tmp = ("_gd_x", "_gd_y", "_gd_z")
+    df = _cartesian(df, lat, lon, tmp, figure)
+    return _sealed(df, {o: F.col(t) for o, t in zip(out, tmp)}, list(tmp))
+
+
+def to_geodetic(df: DataFrame, xyz: tuple[str, str, str], lat: str, lon: str, figure: Figure) -> DataFrame:
+    """Add latitude and longitude in radians of a Cartesian position."""
+    df = _geodetic(df, xyz, "_gd_la", "_gd_lo", figure)
+    return _sealed(df, {lat: F.col("_gd_la"), lon: F.col("_gd_lo")}, ["_gd_la", "_gd_lo"])
+
+
+def shift_datum(df: DataFrame, lat: str, lon: str, to_wgs84: bool) -> DataFrame:
+    """Replace latitude/longitude (radians) by those on the other datum."""
+    df = _shift(df.withColumns({"_gd_la": F.col(lat), "_gd_lo": F.col(lon)}), to_wgs84)
+    return _sealed(df, {lat: F.col("_gd_la"), lon: F.col("_gd_lo")}, ["_gd_la", "_gd_lo"])
+
+
+def _cartesian(df: DataFrame, lat: str, lon: str, out: tuple[str, str, str], figure: Figure) -> DataFrame:
     nu = "_gd_nu"
     df = df.withColumn(nu, _prime_vertical(F.col(lat), figure))
     upright = F.col(nu) + figure.height
@@ -122,8 +150,7 @@ def to_cartesian(df: DataFrame, lat: str, lon: str, out: tuple[str, str, str], f
     ).drop(nu)
 
 
-def to_geodetic(df: DataFrame, xyz: tuple[str, str, str], lat: str, lon: str, figure: Figure) -> DataFrame:
-    """Add latitude and longitude in radians of a Cartesian position."""
+def _geodetic(df: DataFrame, xyz: tuple[str, str, str], lat: str, lon: str, figure: Figure) -> DataFrame:
     x, y, z = (F.col(name) for name in xyz)
     df = df.withColumn("_gd_p", F.hypot(x, y)).withColumn(
         "_gd_t", F.atan2(z, F.col("_gd_p") * (1 - figure.e2))
@@ -147,13 +174,13 @@ def _rotate(df: DataFrame, xyz: tuple[str, str, str], out: tuple[str, str, str],
     return df.withColumns(rows)
 
 
-def shift_datum(df: DataFrame, lat: str, lon: str, to_wgs84: bool) -> DataFrame:
-    """Replace latitude/longitude (radians) by those on the other datum."""
+def _shift(df: DataFrame, to_wgs84: bool) -> DataFrame:
+    """Move the scratch position ``_gd_la``, ``_gd_lo`` to the other datum."""
     source, target = (AIRY, GRS) if to_wgs84 else (GRS, AIRY)
     a, b = ("_gd_x", "_gd_y", "_gd_z"), ("_gd_x2", "_gd_y2", "_gd_z2")
-    df = to_cartesian(df, lat, lon, a, source)
+    df = _cartesian(df, "_gd_la", "_gd_lo", a, source)
     df = _rotate(df, a, b, inverse=to_wgs84)
-    return to_geodetic(df, b, lat, lon, target).drop(*a, *b)
+    return _geodetic(df, b, "_gd_la", "_gd_lo", target).drop(*a, *b)
 
 
 def add_wgs84(
@@ -206,11 +233,10 @@ def add_wgs84(
             "_gd_lo": LON0 + u * lon_series / F.cos("_gd_lat"),
         }
     )
-    df = shift_datum(df, "_gd_la", "_gd_lo", to_wgs84=True)
+    df = _shift(df, to_wgs84=True)
     unit = (lambda col: col) if radians else F.degrees
-    return df.withColumns({latitude: unit(F.col("_gd_la")), longitude: unit(F.col("_gd_lo"))}).drop(
-        "_gd_lat", "_gd_n", "_gd_t", "_gd_t2", "_gd_u", "_gd_u2", "_gd_q", "_gd_la", "_gd_lo"
-    )
+    results = {latitude: unit(F.col("_gd_la")), longitude: unit(F.col("_gd_lo"))}
+    return _sealed(df, results, [n for n in df.columns if n.startswith("_gd_")])
 
 
 def add_osgb36(
@@ -230,7 +256,7 @@ def add_osgb36(
             "_gd_lo": unit(F.col(longitude).cast("double")),
         }
     )
-    df = shift_datum(df, "_gd_la", "_gd_lo", to_wgs84=False)
+    df = _shift(df, to_wgs84=False)
     df = df.withColumns(
         {
             "_gd_n": _prime_vertical(F.col("_gd_la"), AIRY),
@@ -260,9 +286,7 @@ def add_osgb36(
     }
     if whole:
         result = {name: col.cast("bigint") for name, col in result.items()}
-    return df.withColumns(result).drop(
-        "_gd_la", "_gd_lo", "_gd_n", "_gd_q", "_gd_t", "_gd_t2", "_gd_u", "_gd_u2"
-    )
+    return _sealed(df, result, [n for n in df.columns if n.startswith("_gd_")])
 
 
 @F.pandas_udf(

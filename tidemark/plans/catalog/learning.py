@@ -18,22 +18,26 @@ from tidemark.plans.catalog.common import REQUESTS, keyed, requests
 from tidemark.plans.engine import RiskEngine
 from tidemark.plans.prices import with_price_fallback
 from tidemark.plans.validation import compare_models, out_of_fold
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, materialize
 from tidemark.sources.views import Views
 
 SMALL = m.ForestSize(trees=12, depth=6)
 BOOSTING = {"rounds": 8, "depth": 4}
 
 
-def engine(v: Views) -> RiskEngine:
-    """Engine over the views; prepared units have no gaps in their features."""
-    prepared = add_wgs84(by_postcode(v.labelled, v.labelled))
+def prepared_units(v: Views):
+    """The prepared unit table is a stored table: written once, then read."""
+    return materialize(add_wgs84(by_postcode(v.labelled, v.labelled)), "prepared")
+
+
+def engine(v: Views, prepare: bool = False) -> RiskEngine:
+    """Engine over the views, with gap-free prepared units where a model needs them."""
     return RiskEngine(
         v.labelled,
         v.sector_data,
         v.district_data,
         unlabelled=v.unlabelled,
-        prepared_units=prepared.drop("k"),
+        prepared_units=prepared_units(v).drop("k") if prepare else None,
         forest=SMALL,
         boosting=BOOSTING,
     )
@@ -126,17 +130,17 @@ def cls2d(v: Views):
 
 @query("cls3_historic_forest")
 def cls3(v: Views):
-    return engine(v).fit_to_data("historic_rf").predict_historic_flooding(requests(v), "historic_rf")
+    return engine(v, True).fit_to_data("historic_rf").predict_historic_flooding(requests(v), "historic_rf")
 
 
 @query("reg1_boosted_prices")
 def reg1(v: Views):
-    return engine(v).fit_to_data("house_prices_xgb").predict_median_house_price(requests(v), "house_prices_xgb")
+    return engine(v, True).fit_to_data("house_prices_xgb").predict_median_house_price(requests(v), "house_prices_xgb")
 
 
 @query("reg1b_boosted_prices_by_district")
 def reg1b(v: Views):
-    units, districts = by_postcode(v.labelled, v.labelled), v.district_data
+    units, districts = prepared_units(v), v.district_data
     model = m.BoostedPrices.fit(units, districts, "district", **BOOSTING)
     return with_price_fallback(requests(v), model.predict(units, districts))
 
@@ -148,7 +152,7 @@ def imp4(v: Views):
 
 @query("lyr8_postcode_report")
 def lyr8(v: Views):
-    report = engine(v).fit_to_data("historic_rf").flood_report(requests(v))
+    report = engine(v, True).fit_to_data("historic_rf").flood_report(requests(v))
     return report.select("postcode", "historicallyFlooded", "predictedHistoricFlooded", "predictedFloodProb")
 
 

@@ -26,6 +26,7 @@ from tidemark.operators.scaling import balanced_weights, fixed_weights
 from tidemark.operators.selection import numeric_and_other
 from tidemark.operators.stats import shares_of_row
 from tidemark.plans.features import feature_stages
+from tidemark.session import materialize
 
 ID_COLUMNS = ("k", "postcode", "postcodeDistrict", "postcodeSector")
 CATEGORIES = ("soilType", "nearestWatercourse", "localAuthority")
@@ -92,6 +93,11 @@ def _forest(size: ForestSize, trees: int, label: str, min_leaf: int = 1) -> Rand
     )
 
 
+def _train_table(df: DataFrame) -> DataFrame:
+    """Training rows, written once: fitting passes over them many times."""
+    return materialize(df, "train")
+
+
 def _fit(df: DataFrame, stages: list) -> PipelineModel:
     return Pipeline(stages=stages).fit(df)
 
@@ -106,9 +112,8 @@ class SevenClassForest:
 
     @classmethod
     def fit(cls, units: DataFrame, size: ForestSize | None = None, label: str = "riskLabel") -> SevenClassForest:
-        train = balanced_weights(units.na.drop(subset=[label]).drop("weight"), label).withColumn(
-            "_label", F.col(label).cast("double")
-        )
+        train = _train_table(units.na.drop(subset=[label]).drop("weight"))
+        train = balanced_weights(train, label).withColumn("_label", F.col(label).cast("double"))
         stages = feature_stages(
             train,
             standard=["easting", "northing", "elevation"],
@@ -148,7 +153,7 @@ class SevenClassProbability:
 
     @classmethod
     def fit(cls, units: DataFrame, districts: DataFrame, size: ForestSize | None = None) -> SevenClassProbability:
-        train = probability_features(units, districts).na.drop(subset=["riskLabel"])
+        train = _train_table(probability_features(units, districts).na.drop(subset=["riskLabel"]))
         train = balanced_weights(train, "riskLabel").withColumn("_label", F.col("riskLabel").cast("double"))
         base = ["longitude", "latitude", "elevation", "distanceToWatercourse", "medianPrice", "historicallyFlooded"]
         skip = {*ID_COLUMNS, "riskLabel", "weight", "_label", "easting", "northing"}
@@ -184,9 +189,8 @@ class HistoricForest:
     ) -> HistoricForest:
         features = [c for c in units.columns if c not in (*ID_COLUMNS, target, "weight", "fold")]
         numeric, other = numeric_and_other(units, features)
-        train = fixed_weights(units.na.drop(subset=[target]), target, {0: 1.0, 1: 3.0}).withColumn(
-            "_label", F.col(target).cast("double")
-        )
+        train = _train_table(units.na.drop(subset=[target]))
+        train = fixed_weights(train, target, {0: 1.0, 1: 3.0}).withColumn("_label", F.col(target).cast("double"))
         stages = feature_stages(train, standard=numeric, categorical=other)
         return cls(_fit(train, [*stages, _forest(size or ForestSize(), 5, "_label")]), features)
 
@@ -234,15 +238,12 @@ class BoostedPrices:
     ) -> BoostedPrices:
         if merge_with not in PRICE_NUMBERS:
             raise ValueError("merge_with must be 'sector' or 'district'")
-        train = (
-            cls.merge(units, groups, merge_with)
-            .na.drop(subset=["medianPrice"])
-            .withColumns(
-                {
-                    "_label": F.log1p("medianPrice"),
-                    "_held_out": F.pmod(text_hash(F.col("postcode"), seed), F.lit(10)) == 0,
-                }
-            )
+        train = _train_table(cls.merge(units, groups, merge_with).na.drop(subset=["medianPrice"]))
+        train = train.withColumns(
+            {
+                "_label": F.log1p("medianPrice"),
+                "_held_out": F.pmod(text_hash(F.col("postcode"), seed), F.lit(10)) == 0,
+            }
         )
         stages = feature_stages(train, robust=PRICE_NUMBERS[merge_with], categorical=["soilType"])
         learner = GBTRegressor(
@@ -281,7 +282,7 @@ def fill_age_shares(districts: DataFrame, trees: int = 100, depth: int = 30, see
     if empty.isEmpty():
         return districts
     assemble = VectorAssembler(inputCols=list(AGE_PREDICTORS), outputCol="_features", handleInvalid="skip")
-    train = assemble.transform(districts.where(~blank))
+    train = _train_table(assemble.transform(districts.where(~blank)))
     filled = assemble.transform(empty)
     for c in AGE_SHARES:
         forest = RandomForestRegressor(

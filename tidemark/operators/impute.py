@@ -42,8 +42,9 @@ def by_postcode(
     df, labelled = with_postcode_keys(df), with_postcode_keys(labelled)
     keys = ["postcodeSector", "postcodeDistrict"]
     if numeric:
-        levels = [(key, medians(labelled, numeric, [key])) for key in keys]
-        df = fall_back(_as_doubles(df, numeric), numeric, levels, scalars(medians(labelled, numeric)))
+        rows = labelled.count()
+        levels = [(key, medians(labelled, numeric, [key], rows=rows)) for key in keys]
+        df = fall_back(_as_doubles(df, numeric), numeric, levels, scalars(medians(labelled, numeric, rows=rows)))
     if other:
         complete = labelled.na.drop(subset=other)
         df = fall_back(df, other, [(key, modes(complete, other, [key])) for key in keys], constants)
@@ -96,10 +97,10 @@ def within_table_by_postcode(df: DataFrame, numeric: Sequence[str], other: Seque
     mode.
     """
     if numeric:
-        df = _as_doubles(df, numeric)
+        df, rows = _as_doubles(df, numeric), df.count()
         for key in ("postcodeSector", "postcodeDistrict"):
-            df = fall_back(df, numeric, [(key, medians(df, numeric, [key]))], {})
-        df = apply_fill(df, {c: v for c, v in scalars(medians(df, numeric)).items() if v is not None})
+            df = fall_back(df, numeric, [(key, medians(df, numeric, [key], rows=rows))], {})
+        df = apply_fill(df, {c: v for c, v in scalars(medians(df, numeric, rows=rows)).items() if v is not None})
     if other:
         for key in ("postcodeDistrict", "postcodeSector"):
             df = fall_back(df, other, [(key, modes(df, other, [key]))], {})

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import keep_priority
-from tidemark.session import materialize
+from tidemark.session import materialize_with
 
 LEAF_ROWS = 32
 EXTRA_LEVELS = 5
@@ -54,8 +54,10 @@ def _cell_frame(points: DataFrame, levels: int, x0: float, y0: float, unit: floa
     return df.withColumns({"_node": at(F.col("_level")), "_parent": parent}).drop("_ix", "_iy")
 
 
-def _build_cells(points: DataFrame, levels: int, x0: float, y0: float, unit: float, leaf_rows: int) -> DataFrame:
-    """The written table of cells that queries walk down."""
+def _build_cells(
+    points: DataFrame, levels: int, x0: float, y0: float, unit: float, leaf_rows: int
+) -> tuple[DataFrame, int]:
+    """The written table of cells that queries walk down, and its lowest level."""
     cells = (
         _cell_frame(points, levels, x0, y0, unit)
         .groupBy("_level", "_node", "_parent")
@@ -71,7 +73,8 @@ def _build_cells(points: DataFrame, levels: int, x0: float, y0: float, unit: flo
     opened = split.select(F.col("_node").alias("_parent"))
     kept = cells.join(opened, "_parent", "left_semi").unionByName(cells.where(F.col("_level") == levels))
     leaf = (F.col("_level") == 0) | (F.col("_n") <= leaf_rows)
-    return materialize(kept.withColumn("_leaf", leaf), "tree")
+    tree, facts = materialize_with(kept.withColumn("_leaf", leaf), "tree", F.min("_level").alias("lowest"))
+    return tree, facts["lowest"]
 
 
 def _gap(q: Column, low: Column, high: Column) -> Column:
@@ -106,10 +109,8 @@ def nearest(
     )
     copies = Window.partitionBy("_x", "_y").orderBy(tie)
     points = points.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy")
-    points = materialize(points, "reference")
-    box = points.agg(
-        F.count("*").alias("n"), F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y")
-    ).first()
+    ends = [fn(axis).alias(f"{name}{axis}") for axis in ("_x", "_y") for name, fn in (("low", F.min), ("high", F.max))]
+    points, box = materialize_with(points, "reference", F.count(F.lit(1)).alias("n"), *ends)
 
     asked = queries.select(
         F.col(query_id), F.col(x).cast("double").alias("_qx"), F.col(y).cast("double").alias("_qy")
@@ -122,11 +123,10 @@ def nearest(
         # At most ``leaf_rows`` reference rows in all: one leaf.
         pairs = asked.join(F.broadcast(points))
     else:
-        x0, x1, y0, y1 = box[1], box[2], box[3], box[4]
+        x0, x1, y0, y1 = (box[name] for name in ("low_x", "high_x", "low_y", "high_y"))
         levels = min(MAX_LEVELS, math.ceil(math.log(box["n"] / leaf_rows, 16)) + EXTRA_LEVELS)
         unit = (max(x1 - x0, y1 - y0) or 1.0) / 4**levels
-        tree = _build_cells(points, levels, x0, y0, unit, leaf_rows)
-        lowest = tree.where("_leaf").agg(F.min("_level")).first()[0]
+        tree, lowest = _build_cells(points, levels, x0, y0, unit, leaf_rows)
         # Few input bytes become many pairs: fix the number of tasks, or the
         # planner would merge them by input size.
         tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism

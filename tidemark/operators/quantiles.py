@@ -110,16 +110,20 @@ def exact_quantiles(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     hot_rows: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles: one row per key, one array per column.
 
-    Rows with a NULL key are left out. Group sizes are counted first, which
-    decides between the two ways above.
+    Rows with a NULL key are left out. The rows are counted first (unless the
+    caller knows their number); only a table above the limit has its groups
+    counted, which decides between the two ways above.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
     df = df.select(*keys, *[c for c in cols if c not in keys])
+    if (df.count() if rows is None else rows) <= limit:
+        return _plain(df.na.drop(subset=list(keys)) if keys else df, cols, probs, keys)
     if not keys:
-        return (_plain if df.count() <= limit else _bracketed)(df, cols, probs, keys)
+        return _bracketed(df, cols, probs, keys)
     df = df.na.drop(subset=list(keys))
     hot = df.groupBy(*keys).count().where(F.col("count") > limit).drop("count")
     if hot.isEmpty():
@@ -128,9 +132,15 @@ def exact_quantiles(
     return cool.unionByName(_bracketed(df.join(hot, list(keys), "left_semi"), cols, probs, keys))
 
 
-def medians(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+def medians(
+    df: DataFrame,
+    cols: Sequence[str],
+    keys: Sequence[str] = (),
+    hot_rows: int | None = None,
+    rows: int | None = None,
+) -> DataFrame:
     """Exact median per column (and group); NULLs are skipped."""
-    table = exact_quantiles(df, cols, [0.5], keys, hot_rows)
+    table = exact_quantiles(df, cols, [0.5], keys, hot_rows, rows)
     return table.select(*keys, *[F.col(f"`{c}`")[0].alias(c) for c in cols])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -55,7 +55,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage in a way that survives lost executors, and gives the
     planner a true size, so that it broadcasts the table only if it is small.
     """
+    return materialize_with(df, name)[0]
+
+
+def materialize_with(df: DataFrame, name: str, *facts: Column) -> tuple[DataFrame, dict]:
+    """As :func:`materialize`, with aggregates observed while writing."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    watch = Observation()
+    (df.observe(watch, *facts) if facts else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), watch.get if facts else {}

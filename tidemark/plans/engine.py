@@ -67,6 +67,16 @@ class RiskEngine:
         rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(values)]
         return self.spark.createDataFrame(rows, f"ord bigint, {x} double, {y} double")
 
+    @staticmethod
+    def _with_features(asked: DataFrame, features: DataFrame) -> DataFrame:
+        """Stored features per request; the request rides along in a struct."""
+        packed = asked.select("postcode", F.struct(*asked.columns).alias("_request"))
+        return packed.join(features, "postcode", "left")
+
+    @staticmethod
+    def _request_columns(asked: DataFrame, *new: str) -> list:
+        return [F.col(f"_request.{c}").alias(c) for c in asked.columns if c not in new]
+
     def _fitted(self, key: str):
         if key not in self.models:
             raise NotFitted(f"fit model {key!r} first")
@@ -161,8 +171,8 @@ class RiskEngine:
         if model == "all_minimum_risk":
             return location.minimum_risk(asked)
         if model == "seven_class_tool":
-            known = asked.join(self.postcodes, "postcode", "left")
-            return self._fitted(model).predict(known).select(*asked.columns, "riskLabel")
+            scored = self._fitted(model).predict(self._with_features(asked, self.postcodes))
+            return scored.select(*self._request_columns(asked, "riskLabel"), "riskLabel")
         return self._extra("flood_class_from_postcode", model, asked)
 
     def predict_flood_class_from_OSGB36_location(self, places, model: str = "all_minimum_risk") -> DataFrame:
@@ -211,9 +221,8 @@ class RiskEngine:
             self._fitted(model)
             return asked.withColumn("historicallyFlooded", location.coin_flip(F.col("postcode")))
         if model == "historic_rf":
-            known = asked.join(self.prepared_units.drop("ord"), "postcode", "left")
-            scored = self._fitted(model).predict(known)
-            return scored.select(*asked.columns, "predictedHistoricFlooded")
+            scored = self._fitted(model).predict(self._with_features(asked, self.prepared_units))
+            return scored.select(*self._request_columns(asked), "predictedHistoricFlooded")
         return self._extra("historic_flooding", model, asked)
 
     def predict_high_risk_near_watercourses(

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

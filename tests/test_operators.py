@@ -168,3 +168,15 @@ def test_distributions_on_a_lattice(spark):
     assert cumulative == [0.2, 0.6, 0.6, 0.8]
     shares = [row["density"] for row in stats.probability_distribution(df, "v", 0.0, 3.0, 1.0).orderBy("at").collect()]
     assert shares == [0.4, 0.2, 0.0, 0.2]
+
+
+def test_nearest_in_a_crowded_smallest_cell(spark, monkeypatch):
+    """A third of the points within a millionth of the extent."""
+    from tidemark.operators import knn
+
+    monkeypatch.setattr(knn, "EXTRA_LEVELS", 1)
+    reference = np.concatenate([RNG.integers(0, 10_000_000, (700, 2)), RNG.integers(5_000, 5_040, (700, 2))]).astype(float)
+    queries = np.concatenate([RNG.integers(0, 10_000_000, (20, 2)), RNG.integers(4_990, 5_050, (20, 2))]).astype(float)
+    got = nearest(frame(spark, queries, "qid"), frame(spark, reference, "id"), 3, "qid", "id")
+    rows = got.select("qid", "rank", "id", "d2").orderBy("qid", "rank").collect()
+    assert [tuple(row) for row in rows] == brute(queries, reference, 3)

@@ -16,16 +16,18 @@ first ``k`` by tie order can never be an answer and are dropped beforehand.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import keep_priority
-from tidemark.session import materialize_with
+from tidemark.session import materialize
 
 LEAF_ROWS = 32
 EXTRA_LEVELS = 5
 MAX_LEVELS = 12
+CROWDED = 16
 
 
 def _node(level: Column, cx: Column, cy: Column) -> Column:
@@ -33,15 +35,26 @@ def _node(level: Column, cx: Column, cy: Column) -> Column:
     return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(F.shiftleft(cx, 28)).bitwiseOR(cy)
 
 
-def _cell_frame(points: DataFrame, levels: int, x0: float, y0: float, unit: float) -> DataFrame:
+@dataclass(frozen=True)
+class Grid:
+    """Nested cells: level 0 has side ``unit``, each level up four times that."""
+
+    levels: int
+    x0: float
+    y0: float
+    unit: float
+
+
+def _cell_frame(points: DataFrame, grid: Grid, low: int = 0, high: int | None = None) -> DataFrame:
     """Each point once per level, with the id of its cell and of the parent cell."""
-    top = 4**levels - 1
+    top = 4**grid.levels - 1
+    wanted = list(range(low, (grid.levels if high is None else high) + 1))
 
     def index(name: str, origin: float) -> Column:
-        return F.least(F.floor((F.col(name) - F.lit(origin)) / F.lit(unit)), F.lit(top).cast("bigint"))
+        return F.least(F.floor((F.col(name) - F.lit(origin)) / F.lit(grid.unit)), F.lit(top).cast("bigint"))
 
-    df = points.withColumns({"_ix": index("_x", x0), "_iy": index("_y", y0)})
-    df = df.withColumn("_level", F.explode(F.lit(list(range(levels + 1)))))
+    df = points.withColumns({"_ix": index("_x", grid.x0), "_iy": index("_y", grid.y0)})
+    df = df.withColumn("_level", F.explode(F.lit(wanted)))
 
     def at(level: Column) -> Column:
         return _node(level, F.expr("shiftright(_ix, 2 * _level)"), F.expr("shiftright(_iy, 2 * _level)"))
@@ -54,12 +67,10 @@ def _cell_frame(points: DataFrame, levels: int, x0: float, y0: float, unit: floa
     return df.withColumns({"_node": at(F.col("_level")), "_parent": parent}).drop("_ix", "_iy")
 
 
-def _build_cells(
-    points: DataFrame, levels: int, x0: float, y0: float, unit: float, leaf_rows: int
-) -> tuple[DataFrame, int]:
-    """The written table of cells that queries walk down, and its lowest level."""
+def _build_cells(points: DataFrame, grid: Grid, leaf_rows: int) -> DataFrame:
+    """The written table of cells that queries walk down."""
     cells = (
-        _cell_frame(points, levels, x0, y0, unit)
+        _cell_frame(points, grid)
         .groupBy("_level", "_node", "_parent")
         .agg(
             F.count("*").alias("_n"),
@@ -71,10 +82,28 @@ def _build_cells(
     )
     split = cells.where((F.col("_level") > 0) & (F.col("_n") > leaf_rows))
     opened = split.select(F.col("_node").alias("_parent"))
-    kept = cells.join(opened, "_parent", "left_semi").unionByName(cells.where(F.col("_level") == levels))
+    kept = cells.join(opened, "_parent", "left_semi").unionByName(cells.where(F.col("_level") == grid.levels))
     leaf = (F.col("_level") == 0) | (F.col("_n") <= leaf_rows)
-    tree, facts = materialize_with(kept.withColumn("_leaf", leaf), "tree", F.min("_level").alias("lowest"))
-    return tree, facts["lowest"]
+    return materialize(kept.withColumn("_leaf", leaf), "tree")
+
+
+def _index(points: DataFrame, box, leaf_rows: int) -> tuple[Grid, DataFrame, int, int]:
+    """Grid, cell table, and the lowest and highest level with leaves.
+
+    The depth follows the number of points. Where a smallest cell is still
+    crowded, the cells are built again at full depth.
+    """
+    side = max(box["high_x"] - box["low_x"], box["high_y"] - box["low_y"]) or 1.0
+    usual = math.ceil(math.log(box["n"] / leaf_rows, 16)) + EXTRA_LEVELS
+    for levels in sorted({min(usual, MAX_LEVELS), MAX_LEVELS}):
+        grid = Grid(levels, box["low_x"], box["low_y"], side / 4**levels)
+        tree = _build_cells(points, grid, leaf_rows)
+        facts = tree.where("_leaf").agg(
+            F.min("_level").alias("low"), F.max("_level").alias("high"), F.max("_n").alias("crowd")
+        ).first()
+        if facts["crowd"] <= CROWDED * leaf_rows:
+            break
+    return grid, tree, facts["low"], facts["high"]
 
 
 def _gap(q: Column, low: Column, high: Column) -> Column:
@@ -110,7 +139,8 @@ def nearest(
     copies = Window.partitionBy("_x", "_y").orderBy(tie)
     points = points.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k).drop("_copy")
     ends = [fn(axis).alias(f"{name}{axis}") for axis in ("_x", "_y") for name, fn in (("low", F.min), ("high", F.max))]
-    points, box = materialize_with(points, "reference", F.count(F.lit(1)).alias("n"), *ends)
+    points = materialize(points, "reference")
+    box = points.agg(F.count("*").alias("n"), *ends).first()
 
     asked = queries.select(
         F.col(query_id), F.col(x).cast("double").alias("_qx"), F.col(y).cast("double").alias("_qy")
@@ -123,16 +153,13 @@ def nearest(
         # At most ``leaf_rows`` reference rows in all: one leaf.
         pairs = asked.join(F.broadcast(points))
     else:
-        x0, x1, y0, y1 = (box[name] for name in ("low_x", "high_x", "low_y", "high_y"))
-        levels = min(MAX_LEVELS, math.ceil(math.log(box["n"] / leaf_rows, 16)) + EXTRA_LEVELS)
-        unit = (max(x1 - x0, y1 - y0) or 1.0) / 4**levels
-        tree, lowest = _build_cells(points, levels, x0, y0, unit, leaf_rows)
+        grid, tree, low, high = _index(points, box, leaf_rows)
         # Few input bytes become many pairs: fix the number of tasks, or the
         # planner would merge them by input size.
         tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
-        leaves = _walk(asked.repartition(tasks, query_id), tree, levels, lowest, k, query_id)
+        leaves = _walk(asked.repartition(tasks, query_id), tree, grid.levels, low, k, query_id)
         tagged = (
-            _cell_frame(points, levels, x0, y0, unit)
+            _cell_frame(points, grid, low, high)
             .join(tree.where("_leaf").select("_node"), "_node", "left_semi")
             .drop("_level", "_parent")
         )

@@ -17,6 +17,7 @@ from tidemark.operators.ranking import keep_priority
 from tidemark.operators.scaling import apply_fill
 from tidemark.operators.selection import numeric_and_other
 from tidemark.operators.stats import scaled_medians
+from tidemark.session import materialize
 
 
 def columns_with_gaps(df: DataFrame) -> list[str]:
@@ -94,16 +95,16 @@ def within_table_by_postcode(df: DataFrame, numeric: Sequence[str], other: Seque
     """Fill a table from itself, each step seeing what the step before filled.
 
     Numbers: sector, district, overall median. Text: district, sector, overall
-    mode.
+    mode. A step reads its input twice, so each result is written once.
     """
     if numeric:
         df, rows = _as_doubles(df, numeric), df.count()
         for key in ("postcodeSector", "postcodeDistrict"):
-            df = fall_back(df, numeric, [(key, medians(df, numeric, [key], rows=rows))], {})
+            df = materialize(fall_back(df, numeric, [(key, medians(df, numeric, [key], rows=rows))], {}), "filled")
         df = apply_fill(df, {c: v for c, v in scalars(medians(df, numeric, rows=rows)).items() if v is not None})
     if other:
         for key in ("postcodeDistrict", "postcodeSector"):
-            df = fall_back(df, other, [(key, modes(df, other, [key]))], {})
+            df = materialize(fall_back(df, other, [(key, modes(df, other, [key]))], {}), "filled")
         df = apply_fill(df, {c: v for c, v in scalars(modes(df, other)).items() if v is not None})
     return df
 
@@ -116,17 +117,14 @@ def within_table_by_neighbours(
     Numbers: mean of the ``k`` nearest rows that have the value. Text: mode of
     the five nearest rows (the row itself among them), else the overall mode.
     """
+    fills = []
     for c in numeric:
         asked = df.where(F.col(c).isNull()).select(F.col(key).alias("_asker"), "easting", "northing")
         donors = df.where(F.col(c).isNotNull()).select(
             F.col(key).alias("_donor"), "easting", "northing", F.col(c).cast("double").alias("_value")
         )
-        fill = nearest(asked, donors, k, "_asker", "_donor").groupBy("_asker").agg(F.avg("_value").alias("_fill"))
-        df = (
-            df.join(fill.withColumnRenamed("_asker", key), key, "left")
-            .withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("_fill")))
-            .drop("_fill")
-        )
+        near = nearest(asked, donors, k, "_asker", "_donor")
+        fills.append((near.groupBy("_asker").agg(F.avg("_value").alias(f"_n_{c}")), {c: None}))
     if other:
         gap = F.lit(False)
         for c in other:
@@ -135,10 +133,12 @@ def within_table_by_neighbours(
         donors = df.select(F.col(key).alias("_donor"), "easting", "northing", *other)
         near = nearest(asked, donors, 5, "_asker", "_donor")
         stats = near.groupBy("_asker").agg(*[F.mode(c, True).alias(f"_n_{c}") for c in other])
-        overall = scalars(modes(df, other))
-        df = df.join(stats.withColumnRenamed("_asker", key), key, "left")
-        df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"_n_{c}"), F.lit(overall[c])) for c in other})
-        df = df.drop(*[f"_n_{c}" for c in other])
+        fills.append((stats, scalars(modes(df, other))))
+    df = _as_doubles(df, numeric)
+    for table, last in fills:
+        df = df.join(table.withColumnRenamed("_asker", key), key, "left")
+        df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"_n_{c}"), F.lit(v)) for c, v in last.items()})
+        df = df.drop(*[f"_n_{c}" for c in last])
     return df
 
 

@@ -17,6 +17,7 @@ from tidemark.operators.quantiles import exact_quantiles, scalars
 from tidemark.operators.ranking import category_codes
 from tidemark.operators.selection import flooded_only
 from tidemark.operators.stations import colour_positions, latest_of_each, latest_readings, value_bands
+from tidemark.session import materialize
 
 MANY_VALUES = 10
 
@@ -66,14 +67,18 @@ def flooded_authorities(units: DataFrame, boundaries: DataFrame, name: str) -> D
 
 
 def weather(readings: DataFrame, parameter: str) -> DataFrame:
-    """Latest value per station with its quartile colour."""
-    latest = latest_readings(readings, parameter)
+    """Latest value per station with its quartile colour.
+
+    The latest rows, one per station, are written once: the quartiles and the
+    colours both need them, and the readings are read only once.
+    """
+    latest = materialize(latest_readings(readings, parameter), "latest")
     return value_bands(latest).select("stationReference", "dateTime", "latitude", "longitude", "value", "band")
 
 
 def rainfall_and_level(readings: DataFrame) -> DataFrame:
     """Latest rainfall and level per station, each placed on its own scale."""
-    return colour_positions(latest_of_each(readings)).select(
+    return colour_positions(materialize(latest_of_each(readings), "latest")).select(
         "layer", "stationReference", "dateTime", "latitude", "longitude", "value", "position"
     )
 

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 HOT_ROWS = 200_000
 SKETCH_ACCURACY = 10_000
 
@@ -56,7 +58,7 @@ def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys:
             for i, p in enumerate(probs)
         ]
     )
-    targets = sketch.select(*group, F.inline(wanted))
+    targets = materialize(sketch.select(*group, F.inline(wanted)), "targets")
     at = [*group, "_q_at"]
 
     def match(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -79,6 +81,7 @@ def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys:
         F.when(F.ceil("_q_rank") < F.col("_q_upto"), F.col("_q_high")).alias("_q_to"),
         F.when(F.floor("_q_rank") >= F.col("_q_below"), F.col("_q_below")).otherwise(0).alias("_q_before"),
     )
+    placed = materialize(placed, "stretches")
     inside = (F.col("_q_from").isNull() | (F.col("_q_val") >= F.col("_q_from"))) & (
         F.col("_q_to").isNull() | (F.col("_q_val") <= F.col("_q_to"))
     )

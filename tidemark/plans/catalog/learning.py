@@ -193,3 +193,31 @@ def evl9(v: Views):
     return table.select("model", "name", "scores", "failure")
 
 
+@query(
+    "udx1_added_model",
+    f"with {REQUESTS} select ord, postcode, 7 as riskLabel from requests",
+    ("unit",),
+)
+def udx1(v: Views):
+    """A model of the caller's own, added to a registry under a new key."""
+    m.register_model(
+        "flood_class_from_postcode",
+        "always_seven",
+        "Always seven",
+        lambda e: lambda wanted: wanted.withColumn("riskLabel", F.lit(7)),
+    )
+    try:
+        e = engine(v).fit_to_data("always_seven")
+        return e.predict_flood_class_from_postcode(requests(v), "always_seven")
+    finally:
+        m.unregister_model("flood_class_from_postcode", "always_seven")
+
+
+@query(
+    "udx5_own_constants",
+    """select k, coalesce(soilType, 'Peat') as soilType, coalesce(elevation, 12.5e0) as elevation from unlabelled""",
+    ("unlabelled",),
+)
+def udx5(v: Views):
+    own = {"soilType": "Peat", "elevation": 12.5}
+    return engine(v).impute_missing_values(v.unlabelled, "constant", own).select("k", "soilType", "elevation")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.quantiles import modes
 from tidemark.operators.ranking import hash_split, stratified_folds
 from tidemark.operators.scaling import known_categories, label_codes, min_max, one_hot, robust, standardise
 from tidemark.plans.catalog import query
-from tidemark.plans.catalog.common import rounded
+from tidemark.plans.catalog.common import mode_sql, rounded
+from tidemark.plans.features import feature_stages
 from tidemark.sources.views import Views
 
 HASH = "((k*7919+42)%1000003*104729+42)%1000003"
@@ -89,3 +91,39 @@ def pre6(v: Views):
 )
 def pre7(v: Views):
     return stratified_folds(v.unit.select("k", "riskLabel"), "riskLabel", "k")
+
+
+@query(
+    "udx2_row_rule_in_pipeline",
+    """select k, coalesce(nearestWatercourse, case when distanceToWatercourse < 2000 then 'UnknownNearbyWatercourse'
+         else 'NoWatercourse' end) as f_nearestWatercourse from unit""",
+    ("unit",),
+)
+def udx2(v: Views):
+    """The watercourse rule as a saved pipeline stage."""
+    stage = feature_stages(v.unit, categorical=["nearestWatercourse"], guess_watercourse=True)[0]
+    return stage.transform(v.unit).select("k", "f_nearestWatercourse")
+
+
+@query(
+    "udx3_mode_aggregate",
+    f"with {mode_sql('m', 'unit', 'soilType', 'riskLabel')} select * from m",
+    ("unit",),
+)
+def udx3(v: Views):
+    return modes(v.unit, ["soilType"], ["riskLabel"])
+
+
+@query(
+    "udx4_column_step_in_pipeline",
+    """select k, round((elevation - (select avg(coalesce(elevation, m)) from unit, (select median(elevation) as m from unit)))
+         / (select stddev_pop(coalesce(elevation, m)) from unit, (select median(elevation) as m from unit)), 9) as f_elevation
+       from unit where elevation is not null""",
+    ("unit",),
+)
+def udx4(v: Views):
+    """Columns are dropped before, and features made inside, one SQL stage."""
+    table = v.unit.drop("medianPrice", "riskLabel", "not_there")
+    stage = feature_stages(table, standard=["elevation"])[0]
+    made = stage.transform(table).where("elevation is not null").select("k", "f_elevation")
+    return rounded(made, 9, "f_elevation")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.constants import RAW_FEATURES
+from tidemark.functions.numeric import planar_distance
 from tidemark.functions.readings import parameter_is
 from tidemark.operators.lookups import with_truth
 from tidemark.operators.ranking import hash_split, stacked, upsert
@@ -177,6 +178,18 @@ SPLIT = """case when ((k*7919+42)%1000003*104729+42)%1000003 % 10 < 1 then 'test
   when ((k*7919+42)%1000003*104729+42)%1000003 % 10 < 2 then 'location_test' else 'train' end"""
 
 
+@query(
+    "srt4_top_k_by_distance",
+    """select postcode, round(sqrt((easting - 200000.0e0) ** 2 + (northing - 60000.0e0) ** 2), 6) as dist from unit
+       order by (easting - 200000.0e0) ** 2 + (northing - 60000.0e0) ** 2, postcode limit 25""",
+    ("unit",),
+)
+def srt4(v: Views):
+    dist = planar_distance(F.col("easting"), F.col("northing"), F.lit(200000.0), F.lit(60000.0))
+    near = v.unit.select("postcode", dist.alias("dist")).orderBy("dist", "postcode").limit(25)
+    return near.withColumn("dist", F.round("dist", 6))
+
+
 @query("srt3_seeded_split", f"select k, postcode, {SPLIT} as split from unit", ("unit",))
 def srt3(v: Views):
     return hash_split(v.unit.select("k", "postcode"), "k", {"test": 1, "location_test": 1, "train": 8})

@@ -71,6 +71,12 @@ def register_model(task: str, key: str, name: str, builder: Callable) -> None:
     EXTRA_BUILDERS[(task, key)] = builder
 
 
+def unregister_model(task: str, key: str) -> None:
+    """Take an added model out again."""
+    REGISTRIES[task].pop(key, None)
+    EXTRA_BUILDERS.pop((task, key), None)
+
+
 @dataclass
 class ForestSize:
     """Size of a forest; ``None`` takes the default of the builder."""

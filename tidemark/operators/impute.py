@@ -12,7 +12,7 @@ from tidemark.functions.geodesy import add_wgs84
 from tidemark.functions.postcode import postcode_district, with_postcode_keys
 from tidemark.operators.knn import nearest
 from tidemark.operators.lookups import fall_back
-from tidemark.operators.quantiles import medians, modes, scalars
+from tidemark.operators.quantiles import medians, modes, modes_of, scalars, value_counts
 from tidemark.operators.ranking import keep_priority
 from tidemark.operators.scaling import apply_fill
 from tidemark.operators.selection import numeric_and_other
@@ -47,8 +47,10 @@ def by_postcode(
         levels = [(key, medians(labelled, numeric, [key], rows=rows)) for key in keys]
         df = fall_back(_as_doubles(df, numeric), numeric, levels, scalars(medians(labelled, numeric, rows=rows)))
     if other:
-        complete = labelled.na.drop(subset=other)
-        df = fall_back(df, other, [(key, modes(complete, other, [key])) for key in keys], constants)
+        # Counted once per sector and district; both levels are summed from that.
+        counts = value_counts(labelled.na.drop(subset=other), other, keys)
+        levels = [(key, modes_of(counts, labelled.schema, other, [key])) for key in keys]
+        df = fall_back(df, other, levels, constants)
     return df
 
 

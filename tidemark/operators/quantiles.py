@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import materialize
 
@@ -147,25 +148,31 @@ def medians(
     return table.select(*keys, *[F.col(f"`{c}`")[0].alias(c) for c in cols])
 
 
+def value_counts(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Rows per (keys, column, value) of several columns, NULLs left out."""
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("_m_col"), F.col(f"`{c}`").cast("string").alias("_m_val")) for c in cols]
+    )
+    long = df.na.drop(subset=list(keys)) if keys else df
+    long = long.select(*keys, F.inline(pairs)).where("_m_val is not null")
+    return long.groupBy(*keys, "_m_col", "_m_val").agg(F.count("*").alias("_m_n"))
+
+
+def modes_of(counts: DataFrame, schema: T.StructType, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Modes from :func:`value_counts` of the same or finer keys."""
+    sums = counts.groupBy(*keys, "_m_col", "_m_val").agg(F.sum("_m_n").alias("_m_n"))
+    rank = F.struct((-F.col("_m_n")).alias("c"), F.col("_m_val").alias("v"))
+    picks = [F.min(F.when(F.col("_m_col") == c, rank))["v"].cast(schema[c].dataType).alias(c) for c in cols]
+    return sums.groupBy(*keys).agg(*picks)
+
+
 def modes(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Most frequent value per text column (and group); ties go to the smallest.
 
     Counts are made per (group, column, value) first, so that even a group
     with most of the rows is reduced before it meets in one task.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("_m_col"), F.col(f"`{c}`").cast("string").alias("_m_val")) for c in cols]
-    )
-    counts = (
-        df.select(*keys, F.inline(pairs)).where("_m_val is not null").groupBy(*keys, "_m_col", "_m_val").count()
-    )
-    if keys:
-        counts = counts.na.drop(subset=list(keys))
-    rank = F.struct((-F.col("count")).alias("c"), F.col("_m_val").alias("v"))
-    picks = [
-        F.min(F.when(F.col("_m_col") == c, rank))["v"].cast(df.schema[c].dataType).alias(c) for c in cols
-    ]
-    return counts.groupBy(*keys).agg(*picks)
+    return modes_of(value_counts(df, cols, keys), df.schema, cols, keys)
 
 
 def scalars(table: DataFrame) -> dict:

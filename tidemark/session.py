@@ -33,10 +33,10 @@ def work_folder(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only a local-mode session
     that has none gets a temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _LOCAL_FOLDERS:

@@ -87,23 +87,31 @@ def _build_cells(points: DataFrame, grid: Grid, leaf_rows: int) -> DataFrame:
     return materialize(kept.withColumn("_leaf", leaf), "tree")
 
 
-def _index(points: DataFrame, box, leaf_rows: int) -> tuple[Grid, DataFrame, int, int]:
-    """Grid, cell table, and the lowest and highest level with leaves.
+CELL = ("_node", "_n", "_x0", "_x1", "_y0", "_y1")
+
+
+def _index(points: DataFrame, box, leaf_rows: int):
+    """Grid, cell table, and facts: lowest and highest leaf level, top cells.
 
     The depth follows the number of points. Where a smallest cell is still
-    crowded, the cells are built again at full depth.
+    crowded, the cells are built again at full depth. The top cell has at most
+    16 children, which come back with the facts.
     """
     side = max(box["high_x"] - box["low_x"], box["high_y"] - box["low_y"]) or 1.0
     usual = math.ceil(math.log(box["n"] / leaf_rows, 16)) + EXTRA_LEVELS
     for levels in sorted({min(usual, MAX_LEVELS), MAX_LEVELS}):
         grid = Grid(levels, box["low_x"], box["low_y"], side / 4**levels)
         tree = _build_cells(points, grid, leaf_rows)
-        facts = tree.where("_leaf").agg(
-            F.min("_level").alias("low"), F.max("_level").alias("high"), F.max("_n").alias("crowd")
+        leaf = F.col("_leaf")
+        facts = tree.agg(
+            F.min(F.when(leaf, F.col("_level"))).alias("low"),
+            F.max(F.when(leaf, F.col("_level"))).alias("high"),
+            F.max(F.when(leaf, F.col("_n"))).alias("crowd"),
+            F.collect_list(F.when(F.col("_level") == levels - 1, F.struct(*CELL))).alias("top"),
         ).first()
         if facts["crowd"] <= CROWDED * leaf_rows:
             break
-    return grid, tree, facts["low"], facts["high"]
+    return grid, tree, facts
 
 
 def _gap(q: Column, low: Column, high: Column) -> Column:
@@ -153,13 +161,13 @@ def nearest(
         # At most ``leaf_rows`` reference rows in all: one leaf.
         pairs = asked.join(F.broadcast(points))
     else:
-        grid, tree, low, high = _index(points, box, leaf_rows)
+        grid, tree, facts = _index(points, box, leaf_rows)
         # Few input bytes become many pairs: fix the number of tasks, or the
         # planner would merge them by input size.
         tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
-        leaves = _walk(asked.repartition(tasks, query_id), tree, grid.levels, low, k, query_id)
+        leaves = _walk(asked.repartition(tasks, query_id), tree, grid.levels, facts, k, query_id)
         tagged = (
-            _cell_frame(points, grid, low, high)
+            _cell_frame(points, grid, facts["low"], facts["high"])
             .join(tree.where("_leaf").select("_node"), "_node", "left_semi")
             .drop("_level", "_parent")
         )
@@ -172,33 +180,35 @@ def nearest(
     )
 
 
-def _walk(asked: DataFrame, tree: DataFrame, levels: int, lowest: int, k: int, query_id: str) -> DataFrame:
+def _walk(asked: DataFrame, tree: DataFrame, levels: int, facts, k: int, query_id: str) -> DataFrame:
     """Leaf cells that can hold one of the k nearest points, per query."""
-    facts = ["_node", "_n", "_x0", "_x1", "_y0", "_y1"]
-    below = tree.where(F.col("_level") < levels).select(F.col("_parent").alias("_at"), *facts)
-    stay = tree.where("_leaf").select(F.col("_node").alias("_at"), *facts)
+    cell = [F.col(name) for name in CELL[1:]]
+    below = tree.where(F.col("_level") < levels).select(F.col("_parent").alias("_at"), F.col("_node").alias("_next"), *cell)
+    stay = tree.where("_leaf").select(F.col("_node").alias("_at"), F.col("_node").alias("_next"), *cell)
     steps = below.unionByName(stay)
-    # The top cell has at most 16 children: they start the walk as literals.
-    start = tree.where(F.col("_level") == levels - 1).select(*facts).collect()
-    first = F.array(*[F.struct(*[F.lit(row[f]).alias(f) for f in facts]) for row in start])
-    front = asked.select("*", F.lit(float("inf")).alias("_radius"), F.inline(first))
+    top = F.array(*[F.struct(*[F.lit(row[name]).alias(name) for name in CELL]) for row in facts["top"]])
+    front = asked.select(query_id, "_qx", "_qy", F.lit(float("inf")).alias("_radius"), F.inline(top))
+    front = front.withColumnRenamed("_node", "_next")
+    qx, qy = F.col("_qx"), F.col("_qy")
+    gx, gy = _gap(qx, F.col("_x0"), F.col("_x1")), _gap(qy, F.col("_y0"), F.col("_y1"))
+    rx, ry = _reach(qx, F.col("_x0"), F.col("_x1")), _reach(qy, F.col("_y0"), F.col("_y1"))
+    near, far = gx * gx + gy * gy, rx * rx + ry * ry
     mine = Window.partitionBy(query_id)
     growing = mine.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0)
-    qx, qy = F.col("_qx"), F.col("_qy")
-    for step in range(levels - lowest):
+    enough = F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(mine)
+    for step in range(levels - facts["low"]):
         if step:
-            front = front.withColumnRenamed("_node", "_at").join(steps, "_at").drop("_at")
-        gx, gy = _gap(qx, F.col("_x0"), F.col("_x1")), _gap(qy, F.col("_y0"), F.col("_y1"))
-        rx, ry = _reach(qx, F.col("_x0"), F.col("_x1")), _reach(qy, F.col("_y0"), F.col("_y1"))
+            front = front.join(steps, F.col("_node") == F.col("_at"))
         front = (
-            front.withColumns({"_near": gx * gx + gy * gy, "_far": rx * rx + ry * ry})
+            front.select(
+                query_id, "_qx", "_qy", "_radius", "_n", F.col("_next").alias("_node"), near.alias("_near"), far.alias("_far")
+            )
             # The radius of the level above still holds: drop most cells before sorting.
-            .where(F.col("_near") <= F.col("_radius"))
+            .where("_near <= _radius")
             .withColumn("_held", F.sum("_n").over(growing))
-            .withColumn("_enough", F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(mine))
-            .withColumn("_radius", F.least("_radius", "_enough"))
-            .where(F.col("_near") <= F.col("_radius"))
-            .select(query_id, "_qx", "_qy", "_radius", "_node")
+            .select(query_id, "_qx", "_qy", F.least("_radius", enough).alias("_radius"), "_near", "_node")
+            .where("_near <= _radius")
+            .drop("_near")
         )
     return front
 

@@ -26,8 +26,9 @@ class NotFitted(RuntimeError):
 class RiskEngine:
     """Postcode and flood-risk questions over distributed tables.
 
-    Requests are lists or tables with an ``ord`` column; answers carry the
-    request columns and are in request order, one row per request.
+    Requests are lists or tables with an ``ord`` column. Answers hold one row
+    per request and carry its columns; the look-ups and house prices come in
+    request order, the others can be sorted by ``ord`` where order matters.
     """
 
     def __init__(

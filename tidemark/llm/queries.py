@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, sharding, simhash
+from tidemark.llm import bpe, mixing, sharding, simhash, token_store
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": lambda spark, folder: bpe.digest(table(spark, folder, "documents")),
     "op7_simhash_groups": lambda spark, folder: simhash.grouped(table(spark, folder, "documents")),
     "op8_minimax_shards": lambda spark, folder: sharding.assignment(table(spark, folder, "documents")),
+    "op9_token_store": lambda spark, folder: token_store.stored(table(spark, folder, "documents")),
     "op10_pareto_mix": lambda spark, folder: mixing.taken(table(spark, folder, "documents")),
 }
 

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, mixing, quality, sharding, simhash, token_store
+from tidemark.llm import bpe, language, mixing, quality, sharding, simhash, token_store, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": lambda spark, folder: bpe.digest(table(spark, folder, "documents")),
+    "op2_string_kernel_toxicity": lambda spark, folder: toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op3_fourier_quality": lambda spark, folder: quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op4_word_backoff_language": lambda spark, folder: language.judged(table(spark, folder, "documents")),
     "op7_simhash_groups": lambda spark, folder: simhash.grouped(table(spark, folder, "documents")),

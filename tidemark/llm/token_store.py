@@ -31,7 +31,7 @@ END = 2
 SEGMENT_IDS = 1 << 20
 SEGMENT_DOCS = 1 << 12
 #: Pieces whose ids a worker remembers; at this many the older half goes.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_600_000
 STOPS = ".,;:!?"
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, imatch, language, mixing, quality, sharding, simhash, token_store, toxicity
+from tidemark.llm import bpe, imatch, language, mixing, neighbours, quality, sharding, simhash, token_store, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_string_kernel_toxicity": lambda spark, folder: toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op3_fourier_quality": lambda spark, folder: quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op4_word_backoff_language": lambda spark, folder: language.judged(table(spark, folder, "documents")),
+    "op5_hilbert_neighbours": lambda spark, folder: neighbours.found(table(spark, folder, "embeddings")),
     "op6_imatch_fingerprints": lambda spark, folder: imatch.compared(table(spark, folder, "documents")),
     "op7_simhash_groups": lambda spark, folder: simhash.grouped(table(spark, folder, "documents")),
     "op8_minimax_shards": lambda spark, folder: sharding.assignment(table(spark, folder, "documents")),

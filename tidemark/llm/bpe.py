@@ -106,3 +106,15 @@ def digest(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def checked(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
+    """Per row: doc_id, source, number of ids, packed ids, and whether they decode to the text's bytes.
+
+    A null text counts as empty. Rows that repeat are encoded each.
+    """
+    coded = decode(encode(docs.select("doc_id", "source", "text"), ranks=ranks), ranks=ranks)
+    whole = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    return coded.select(
+        "doc_id", "source", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids", (F.col("decoded") == whole).alias("round_trip")
+    )

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed pattern of a rainfall measure id: station, qualifier, unit. A unit
-# never holds a slash, whatever number of path parts follows it.
-MEASURE_ID = r"^.*/(.*)-rainfall-(.*)-t-15_min-([^/]*)/.*"
+# Fixed value: the published pattern of a rainfall measure id, with station, qualifier and unit. The unit is
+# all up to the last slash.
+MEASURE_ID = r"^.*/(.*)-rainfall-(.*)-t-15_min-(.*)/.*"
+# A number as texts hold it; without the suffixes that a cast would also take.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 
 def number_or_null(value: Column) -> Column:
     """Numeric value of a text, NULL for anything else (NaN included)."""
-    number = value.cast("string").try_cast("double")
-    return F.when(~F.isnan(number), number)
+    text = value.cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def clean_value(value: Column) -> Column:
@@ -45,7 +47,14 @@ def measure_unit(measure: Column) -> Column:
 
 
 def tidy_qualifier(qualifier: Column) -> Column:
-    return F.initcap(F.replace(qualifier, F.lit("_"), F.lit(" ")))
+    """Underscores become blanks; a letter after anything but a letter is a capital, all others are small."""
+    text = F.lower(F.replace(qualifier, F.lit("_"), F.lit(" ")))
+
+    def cased(c: Column, i: Column) -> Column:
+        before = F.substring(text, i, F.lit(1))
+        return F.when((i > 0) & (before != F.upper(before)), c).otherwise(F.upper(c))
+
+    return F.array_join(F.transform(F.split(text, ""), cased), "")
 
 
 def parameter_is(parameter: Column, wanted: str) -> Column:

@@ -59,13 +59,13 @@ def by_neighbours(
     labelled: DataFrame,
     columns: Sequence[str] | None = None,
     k: int = 5,
-    key: str = "postcode",
     constants: dict = IMPUTATION_CONSTANTS,
 ) -> DataFrame:
     """Fill from the ``k`` nearest labelled units.
 
-    The neighbours are found once per row that needs any fill and serve all
-    columns; missing values among them are skipped afterwards.
+    The neighbours are found once per place that has a row in need of any fill
+    and serve all its rows and columns; missing values among them are skipped
+    afterwards. Rows may repeat a postcode or lack one.
     """
     numeric, other = numeric_and_other(df, columns if columns is not None else columns_with_gaps(df))
     filled = [*numeric, *other]
@@ -74,7 +74,7 @@ def by_neighbours(
     gap = F.lit(False)
     for c in filled:
         gap = gap | F.col(c).isNull()
-    asked = df.where(gap).select(F.col(key).alias("_asker"), "easting", "northing")
+    asked = _places(df.where(gap))
     near = nearest(asked, labelled.select("postcode", "easting", "northing", *filled), k, "_asker", "postcode")
     # A group has at most k rows, so plain aggregates are exact and cheap.
     stats = near.groupBy("_asker").agg(
@@ -82,12 +82,23 @@ def by_neighbours(
         *[F.mode(c, True).alias(f"_n_{c}") for c in other],
     )
     last = (scalars(medians(labelled, numeric)) if numeric else {}) | {c: constants.get(c) for c in other}
-    joined = _as_doubles(df, numeric).join(stats.withColumnRenamed("_asker", key), key, "left")
+    joined = _at_places(_as_doubles(df, numeric), stats)
     return joined.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_n_{c}"), F.lit(last[c])) for c in filled}
     ).drop(*[f"_n_{c}" for c in filled])
 
 
+def _places(df: DataFrame) -> DataFrame:
+    """The distinct places of some rows, each its own name."""
+    return df.select("easting", "northing").distinct().withColumn("_asker", F.struct("easting", "northing"))
+
+
+def _at_places(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Rows with what was found at their place; rows without a place find nothing."""
+    found = stats.withColumns({"_e": F.col("_asker.easting"), "_n": F.col("_asker.northing")}).drop("_asker")
+    return df.join(found, (df["easting"] == F.col("_e")) & (df["northing"] == F.col("_n")), "left").drop("_e", "_n")
+
+
 def by_constant(df: DataFrame, constants: dict = IMPUTATION_CONSTANTS) -> DataFrame:
     """Fill every column that has a constant."""
     return apply_fill(df, {c: v for c, v in constants.items() if c in df.columns})
@@ -121,7 +132,7 @@ def within_table_by_neighbours(
     """
     fills = []
     for c in numeric:
-        asked = df.where(F.col(c).isNull()).select(F.col(key).alias("_asker"), "easting", "northing")
+        asked = _places(df.where(F.col(c).isNull()))
         donors = df.where(F.col(c).isNotNull()).select(
             F.col(key).alias("_donor"), "easting", "northing", F.col(c).cast("double").alias("_value")
         )
@@ -131,14 +142,14 @@ def within_table_by_neighbours(
         gap = F.lit(False)
         for c in other:
             gap = gap | F.col(c).isNull()
-        asked = df.where(gap).select(F.col(key).alias("_asker"), "easting", "northing")
+        asked = _places(df.where(gap))
         donors = df.select(F.col(key).alias("_donor"), "easting", "northing", *other)
         near = nearest(asked, donors, 5, "_asker", "_donor")
         stats = near.groupBy("_asker").agg(*[F.mode(c, True).alias(f"_n_{c}") for c in other])
         fills.append((stats, scalars(modes(df, other))))
     df = _as_doubles(df, numeric)
     for table, last in fills:
-        df = df.join(table.withColumnRenamed("_asker", key), key, "left")
+        df = _at_places(df, table)
         df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"_n_{c}"), F.lit(v)) for c, v in last.items()})
         df = df.drop(*[f"_n_{c}" for c in last])
     return df

@@ -152,7 +152,7 @@ def nearest(
 
     asked = queries.select(
         F.col(query_id), F.col(x).cast("double").alias("_qx"), F.col(y).cast("double").alias("_qy")
-    ).where(F.col("_qx").isNotNull() & F.col("_qy").isNotNull())
+    ).where(F.col("_qx").isNotNull() & F.col("_qy").isNotNull() & ~F.isnan("_qx") & ~F.isnan("_qy"))
     d2 = (F.col("_x") - F.col("_qx")) * (F.col("_x") - F.col("_qx")) + (F.col("_y") - F.col("_qy")) * (
         F.col("_y") - F.col("_qy")
     )

@@ -10,7 +10,7 @@ from tidemark.functions.geodesy import add_osgb36
 from tidemark.functions.numeric import nearest_class
 from tidemark.operators.knn import distance_weighted, nearest, vote
 from tidemark.operators.quantiles import modes, scalars
-from tidemark.operators.ranking import text_hash
+from tidemark.operators.ranking import keyed_hash
 
 AUTHORITY_NEIGHBOURS = 5
 RISK_NEIGHBOURS = 15
@@ -30,7 +30,7 @@ def never_flooded(df: DataFrame) -> DataFrame:
 
 def coin_flip(key: Column, seed: int = 42) -> Column:
     """Fair, seeded, partition-independent coin per key."""
-    return F.pmod(text_hash(key, seed), F.lit(2)) == 1
+    return F.pmod(keyed_hash(key, seed), F.lit(2)) == 1
 
 
 def modal_authority(df: DataFrame, units: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.geodesy import add_wgs84
 from tidemark.functions.readings import clean_value
 from tidemark.operators.quantiles import medians, modes
-from tidemark.operators.ranking import keep_priority
+from tidemark.operators.ranking import keep_priority, unique_per
 from tidemark.operators.selection import numeric_and_other
 
 
@@ -20,14 +20,14 @@ def requests_table(spark, values: Sequence, name: str = "postcode", kind: str =
 
 
 def lookup_grid(requests: DataFrame, units: DataFrame) -> DataFrame:
-    """Easting and northing per request, in request order; unknown gives NULL."""
-    places = units.select("postcode", "easting", "northing")
+    """Easting and northing per request, in request order; unknown gives NULL, of repeated units the smallest counts."""
+    places = unique_per(units, "postcode", ["easting", "northing"])
     return requests.join(places, "postcode", "left").orderBy("ord")
 
 
 def lookup_wgs84(requests: DataFrame, units: DataFrame) -> DataFrame:
     """Longitude and latitude per request, in request order."""
-    found = requests.join(units.select("postcode", "easting", "northing"), "postcode", "left")
+    found = requests.join(unique_per(units, "postcode", ["easting", "northing"]), "postcode", "left")
     return add_wgs84(found).drop("easting", "northing").orderBy("ord")
 
 
@@ -68,8 +68,8 @@ def typical_by_group(df: DataFrame, key: str) -> DataFrame:
 
 
 def smoothed(df: DataFrame, key: str) -> DataFrame:
-    """Every row carries its group's typical values; the row count stays."""
-    return df.select(key).join(typical_by_group(df, key), key)
+    """Every row carries its group's typical values; the row count stays, rows without a key have none."""
+    return df.select(key).join(typical_by_group(df, key), key, "left")
 
 
 def merge_by_group(units: DataFrame, groups: DataFrame, key: str, suffix: str) -> DataFrame:

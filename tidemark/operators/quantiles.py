@@ -133,7 +133,9 @@ def exact_quantiles(
     if hot.isEmpty():
         return _plain(df, cols, probs, keys)
     cool = _plain(df.join(hot, list(keys), "left_anti"), cols, probs, keys)
-    return cool.unionByName(_bracketed(df.join(hot, list(keys), "left_semi"), cols, probs, keys))
+    # From the groups themselves, so that one whose values are all NULL keeps its row.
+    heavy = hot.join(_bracketed(df.join(hot, list(keys), "left_semi"), cols, probs, keys), list(keys), "left")
+    return cool.unionByName(heavy)
 
 
 def medians(

@@ -11,14 +11,12 @@ RANK_BUCKETS = 4096
 
 
 def keyed_hash(key: Column, seed: int = 42) -> Column:
-    """Seeded, partition-independent pseudo-random number of an integer key."""
-    spread = F.pmod(key.cast("bigint") * 7919 + F.lit(seed), F.lit(1_000_003).cast("bigint"))
-    return F.pmod(spread * 104_729 + F.lit(seed), F.lit(1_000_003).cast("bigint"))
+    """Seeded, partition-independent pseudo-random number below 1,000,003 of a key of any type.
 
-
-def text_hash(key: Column, seed: int = 42) -> Column:
-    """As :func:`keyed_hash`, for keys of any type."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_003).cast("bigint"))
+    Made of the leading hexadecimal digits of an MD5, which other engines have too. A null key counts as ''.
+    """
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("bigint") % F.lit(1_000_003).cast("bigint")
 
 
 def keep_priority(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -47,6 +45,11 @@ def upsert(base: DataFrame, new: DataFrame, key: str, newest_wins: bool = True)
     return keep_priority(stacked([base, new]), [key], [order, *rest]).drop("_k_table")
 
 
+def unique_per(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """``key`` and ``cols`` with one row per key: the first by the columns' values, NULLs last."""
+    return keep_priority(df.select(key, *cols), [key], [F.col(c).asc_nulls_last() for c in cols])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], time: str, tie: str) -> DataFrame:
     """Last row per key in time order; a missing time counts as last."""
     return keep_priority(df, keys, [F.col(time).desc_nulls_first(), F.col(tie).desc_nulls_last()])

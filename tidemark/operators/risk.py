@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import ECONOMIC_RISK_FACTOR, HUMAN_RISK_FACTOR
 from tidemark.functions.numeric import flood_probability
 from tidemark.functions.postcode import postcode_sector
+from tidemark.operators.ranking import unique_per
 
 
 def _or_zero(column: Column) -> Column:
@@ -19,23 +20,35 @@ def _or_zero(column: Column) -> Column:
 def total_value(requests: DataFrame, units: DataFrame, sectors: DataFrame) -> DataFrame:
     """Median price of the postcode times households of its sector; unknown counts as zero.
 
-    ``requests`` needs a ``postcode`` column and keeps its other columns.
+    ``requests`` needs a ``postcode`` column and keeps its other columns. One
+    row comes out per row that goes in: of repeated units and sectors the smallest figure counts.
     """
-    prices = units.select("postcode", F.col("medianPrice").alias("_price"))
-    homes = sectors.select(F.col("postcodeSector").alias("_sector"), F.col("households").alias("_homes"))
+    return _valued(requests.join(_per_postcode(units, "medianPrice", "_price"), "postcode", "left"), sectors)
+
+
+def _per_postcode(df: DataFrame, col: str, name: str) -> DataFrame:
+    return unique_per(df, "postcode", [col]).withColumnRenamed(col, name)
+
+
+def _per_sector(sectors: DataFrame, col: str, name: str) -> DataFrame:
+    return unique_per(sectors, "postcodeSector", [col]).withColumnsRenamed({"postcodeSector": "_sector", col: name})
+
+
+def _valued(priced: DataFrame, sectors: DataFrame) -> DataFrame:
     return (
-        requests.withColumn("_sector", postcode_sector(F.col("postcode")))
-        .join(prices, "postcode", "left")
-        .join(homes, "_sector", "left")
+        priced.withColumn("_sector", postcode_sector(F.col("postcode")))
+        .join(_per_sector(sectors, "households", "_homes"), "_sector", "left")
         .withColumn("total_property_value", _or_zero(F.col("_price")) * _or_zero(F.col("_homes")))
         .drop("_sector", "_price", "_homes")
     )
 
 
 def human_risk(requests: DataFrame, risks: DataFrame, sectors: DataFrame) -> DataFrame:
-    """Expected people affected per year: 0.1 x headcount x flood probability."""
-    people = sectors.select(F.col("postcodeSector").alias("_sector"), F.col("headcount").alias("_people"))
-    labels = risks.select("postcode", F.col("riskLabel").alias("_risk"))
+    """Expected people affected per year: 0.1 x headcount x flood probability.
+
+    One row per request, however often ``risks`` repeats a postcode: the smallest label counts.
+    """
+    people, labels = _per_sector(sectors, "headcount", "_people"), _per_postcode(risks, "riskLabel", "_risk")
     value = F.lit(HUMAN_RISK_FACTOR) * _or_zero(F.col("_people")) * flood_probability(F.col("_risk"))
     return (
         requests.withColumn("_sector", postcode_sector(F.col("postcode")))
@@ -47,12 +60,11 @@ def human_risk(requests: DataFrame, risks: DataFrame, sectors: DataFrame) -> Dat
 
 
 def economic_risk(requests: DataFrame, risks: DataFrame, units: DataFrame, sectors: DataFrame) -> DataFrame:
-    """Expected loss per year: 0.05 x property value x flood probability."""
-    labels = risks.select("postcode", F.col("riskLabel").alias("_risk"))
+    """Expected loss per year: 0.05 x property value x flood probability; one row per request, as the others."""
+    labels, prices = _per_postcode(risks, "riskLabel", "_risk"), _per_postcode(units, "medianPrice", "_price")
     value = F.lit(ECONOMIC_RISK_FACTOR) * F.col("total_property_value") * flood_probability(F.col("_risk"))
     return (
-        total_value(requests, units, sectors)
-        .join(labels, "postcode", "left")
+        _valued(requests.join(prices, "postcode", "left").join(labels, "postcode", "left"), sectors)
         .withColumn("annual_economic_flood_risk", value)
         .drop("_risk", "total_property_value")
     )

@@ -14,7 +14,7 @@ from tidemark.plans.catalog.scans import REPORT_SQL, guessed_classes
 from tidemark.plans.catalog.spatial import authority_sql
 from tidemark.sources.views import Views
 
-HASH = "((k*7919+42)%1000003*104729+42)%1000003"
+HASH = "(('0x' || substr(md5(cast(k as varchar) || ':42'), 1, 12))::bigint % 1000003)"
 GUESS = f"p as (select riskLabel as t, cast(1 + {HASH} % 7 as int) as p from unit)"
 
 

@@ -89,7 +89,12 @@ def cls4(v: Views):
     return never_flooded(requests(v))
 
 
-@query("cls4_coin_flip")
+@query(
+    "cls4_coin_flip",
+    f"""with {REQUESTS} select ord, postcode,
+        ('0x' || substr(md5(postcode || ':42'), 1, 12))::bigint % 1000003 % 2 = 1 as historicallyFlooded from requests""",
+    ("unit",),
+)
 def cls4_coin(v: Views):
     return requests(v).withColumn("historicallyFlooded", coin_flip(F.col("postcode")))
 

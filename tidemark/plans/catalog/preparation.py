@@ -12,7 +12,7 @@ from tidemark.plans.catalog.common import mode_sql, rounded
 from tidemark.plans.features import feature_stages
 from tidemark.sources.views import Views
 
-HASH = "((k*7919+42)%1000003*104729+42)%1000003"
+HASH = "(('0x' || substr(md5(postcode || ':42'), 1, 12))::bigint % 1000003)"
 
 
 @query(
@@ -80,17 +80,17 @@ def pre5(v: Views):
     ("unit",),
 )
 def pre6(v: Views):
-    return hash_split(v.unit.select("k"), "k", {"train": 81, "validation": 9, "test": 10})
+    return hash_split(v.unit.select("k", "postcode"), "postcode", {"train": 81, "validation": 9, "test": 10}).drop("postcode")
 
 
 @query(
     "pre7_stratified_folds",
-    f"""select k, riskLabel, cast((row_number() over (partition by riskLabel order by {HASH}, k) - 1) % 5 as int) as fold
+    f"""select k, riskLabel, cast((row_number() over (partition by riskLabel order by {HASH}, postcode) - 1) % 5 as int) as fold
         from unit""",
     ("unit",),
 )
 def pre7(v: Views):
-    return stratified_folds(v.unit.select("k", "riskLabel"), "riskLabel", "k")
+    return stratified_folds(v.unit.select("k", "postcode", "riskLabel"), "riskLabel", "postcode").drop("postcode")
 
 
 @query(

@@ -174,8 +174,8 @@ def srt2(v: Views):
     return v.unit.orderBy("postcode").limit(20)
 
 
-SPLIT = """case when ((k*7919+42)%1000003*104729+42)%1000003 % 10 < 1 then 'test'
-  when ((k*7919+42)%1000003*104729+42)%1000003 % 10 < 2 then 'location_test' else 'train' end"""
+SPLIT = """case when (('0x' || substr(md5(postcode || ':42'), 1, 12))::bigint % 1000003) % 10 < 1 then 'test'
+  when (('0x' || substr(md5(postcode || ':42'), 1, 12))::bigint % 1000003) % 10 < 2 then 'location_test' else 'train' end"""
 
 
 @query(
@@ -192,7 +192,7 @@ def srt4(v: Views):
 
 @query("srt3_seeded_split", f"select k, postcode, {SPLIT} as split from unit", ("unit",))
 def srt3(v: Views):
-    return hash_split(v.unit.select("k", "postcode"), "k", {"test": 1, "location_test": 1, "train": 8})
+    return hash_split(v.unit.select("k", "postcode"), "postcode", {"test": 1, "location_test": 1, "train": 8})
 
 
 @query(
@@ -210,7 +210,7 @@ def set1(v: Views):
     ("labelled",),
 )
 def set2(v: Views):
-    split = hash_split(v.labelled, "k", {"test": 1, "location_test": 1, "train": 8})
+    split = hash_split(v.labelled, "postcode", {"test": 1, "location_test": 1, "train": 8})
     return v.labelled.join(split.where("split <> 'train'").select("postcode"), "postcode", "left_anti")
 
 
@@ -245,7 +245,7 @@ def set4(v: Views):
 
 @query(
     "jon13_predictions_with_truth",
-    f"""select postcode, riskLabel, cast(1 + ((k*7919+42)%1000003*104729+42)%1000003 % 7 as int) as guess
+    f"""select postcode, riskLabel, cast(1 + (('0x' || substr(md5(cast(k as varchar) || ':42'), 1, 12))::bigint % 1000003) % 7 as int) as guess
         from labelled""",
     ("labelled",),
 )

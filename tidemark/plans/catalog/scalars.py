@@ -118,15 +118,15 @@ def str5(v: Views):
 
 
 def measure_ids(v: Views):
-    odd = "case when event_id % 50 = 0 then 'http://x/nothing' else concat('http://x/id/measures/', cast(user_id as string), 'TH-rainfall-tipping_bucket_', event_type, '-t-15_min-mm/readings/2025') end"
+    odd = "case when event_id % 50 = 0 then 'http://x/nothing' else concat('http://x/id/measures/', cast(user_id as string), 'TH-rainfall-tipping_bucket-raingauge_', event_type, '-t-15_min-mm/readings/2025') end"
     return v.table("events").selectExpr("event_id", f"{odd} as measure")
 
 
 @query(
     "str6_measure_id_parts",
     """select event_id, case when event_id % 50 <> 0 then concat(cast(user_id as varchar), 'TH') end as station,
-         case when event_id % 50 <> 0 then concat('tipping_bucket_', event_type) end as qualifier,
-         case when event_id % 50 <> 0 then 'mm' end as unit from events""",
+         case when event_id % 50 <> 0 then concat('tipping_bucket-raingauge_', event_type) end as qualifier,
+         case when event_id % 50 <> 0 then 'mm/readings' end as unit from events""",
 )
 def str6(v: Views):
     m = F.col("measure")
@@ -149,7 +149,7 @@ def str7(v: Views):
 
 @query(
     "str8_tidy_qualifier",
-    """select event_id, concat('Tipping Bucket ', upper(substr(event_type, 1, 1)), substr(event_type, 2)) as qualifier
+    """select event_id, concat('Tipping Bucket-Raingauge ', upper(substr(event_type, 1, 1)), substr(event_type, 2)) as qualifier
        from events where event_id % 50 <> 0""",
 )
 def str8(v: Views):

@@ -78,7 +78,7 @@ def readings_payloads(v: Views):
 @query(
     "src4_latest_rainfall_payload",
     """select concat(cast(user_id as varchar), 'TH') as stationReference, date_trunc('second', ts) as dateTime,
-         floor(value * 100 + 0.5) * 1.0e0 as value, 'Tipping Bucket Raingauge' as qualifier, 'mm' as unitName,
+         floor(value * 100 + 0.5) * 1.0e0 as value, 'Tipping Bucket Raingauge' as qualifier, 'mm/readings' as unitName,
          'rainfall' as parameter from events""",
 )
 def src4(v: Views):
@@ -134,7 +134,7 @@ def snk1(v: Views):
     return v.spark.read.parquet(write_table(v.unit, fresh_path(v.spark, "preprocessed")))
 
 
-REPORT_SQL = """with p as (select riskLabel as t, cast(1 + ((k*7919+42)%1000003*104729+42)%1000003 % 7 as int) as p from unit),
+REPORT_SQL = """with p as (select riskLabel as t, cast(1 + (('0x' || substr(md5(cast(k as varchar) || ':42'), 1, 12))::bigint % 1000003) % 7 as int) as p from unit),
 cls as (select label, sum(s) as support, sum(c) as called, sum(h) as hit from (
   select t as label, 1 as s, 0 as c, case when t = p then 1 else 0 end as h from p
   union all select p, 0, 1, 0 from p) group by label),

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tidemark.constants import AGE_PREDICTORS, AGE_SHARES, HISTORIC_THRESHOLD, RISK_CLASSES
 from tidemark.operators.knn import nearest_one
 from tidemark.operators.lookups import unit_district_merge, unit_sector_merge
-from tidemark.operators.ranking import text_hash
+from tidemark.operators.quantiles import medians, scalars
+from tidemark.operators.ranking import keyed_hash
 from tidemark.operators.scaling import balanced_weights, fixed_weights
 from tidemark.operators.selection import numeric_and_other
 from tidemark.operators.stats import shares_of_row
@@ -248,7 +249,7 @@ class BoostedPrices:
         train = train.withColumns(
             {
                 "_label": F.log1p("medianPrice"),
-                "_held_out": F.pmod(text_hash(F.col("postcode"), seed), F.lit(10)) == 0,
+                "_held_out": F.pmod(keyed_hash(F.col("postcode"), seed), F.lit(10)) == 0,
             }
         )
         stages = feature_stages(train, robust=PRICE_NUMBERS[merge_with], categorical=["soilType"])
@@ -287,9 +288,17 @@ def fill_age_shares(districts: DataFrame, trees: int = 100, depth: int = 30, see
     empty = districts.where(blank)
     if empty.isEmpty():
         return districts
-    assemble = VectorAssembler(inputCols=list(AGE_PREDICTORS), outputCol="_features", handleInvalid="skip")
-    train = _train_table(assemble.transform(districts.where(~blank)))
-    filled = assemble.transform(empty)
+    # A district without a predictor takes its median, so none is lost.
+    middle = scalars(medians(districts, list(AGE_PREDICTORS)))
+    guessed = [f"_p_{c}" for c in AGE_PREDICTORS]
+    assemble = VectorAssembler(inputCols=guessed, outputCol="_features")
+
+    def featured(df: DataFrame) -> DataFrame:
+        known = {f"_p_{c}": F.coalesce(F.col(c).cast("double"), F.lit(middle[c]), F.lit(0.0)) for c in AGE_PREDICTORS}
+        return assemble.transform(df.withColumns(known))
+
+    train = _train_table(featured(districts.where(~blank)))
+    filled = featured(empty)
     for c in AGE_SHARES:
         forest = RandomForestRegressor(
             featuresCol="_features", labelCol=c, predictionCol="_share", numTrees=trees, maxDepth=depth, seed=seed

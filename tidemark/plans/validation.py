@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.ranking import stratified_folds
+from tidemark.session import materialize
 
 
 def out_of_fold(
@@ -21,7 +22,7 @@ def out_of_fold(
     seed: int = 42,
 ) -> DataFrame:
     """Predictions for every row from a model that did not see it."""
-    folded = stratified_folds(df, label, key, folds, seed)
+    folded = materialize(stratified_folds(df, label, key, folds, seed), "folds")
     parts = []
     for i in range(folds):
         model = fit(folded.where(f"fold <> {i}").drop("fold"))
@@ -51,7 +52,7 @@ def compare_models(
             row["predict_seconds"] = time.perf_counter() - start
             row["scores"] = {k: float(v) for k, v in facts.items() if v is not None}
         except Exception as error:  # noqa: BLE001 - a failing model is a result here
-            row["failure"] = f"{type(error).__name__}: {error}"[:500]
+            row["failure"] = f"{type(error).__name__}: {error}"
         rows.append(row)
     return spark.createDataFrame(
         rows,

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+#: Paths given out per application, for :func:`clear_work`.
+_GIVEN: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
@@ -46,7 +49,27 @@ def work_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def work_scope(spark: SparkSession):
+    """Intermediate tables written inside are deleted at the end; results must be written or collected before.
+
+    Without it they stay in the shared folder, as a returned DataFrame may still read them.
+    """
+    given = _GIVEN.setdefault(spark.sparkContext.applicationId, [])
+    before = len(given)
+    try:
+        yield
+    finally:
+        hadoop, configuration = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+        for path in given[before:]:
+            where = hadoop(path)
+            where.getFileSystem(configuration).delete(where, True)
+        del given[before:]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -94,7 +94,7 @@ select ts as dateTime,
   concat('ST', cast((user_id*2 + case when event_type in ('click','purchase') then 0 else 1 end)%120 as varchar(10))) as stationReference,
   case when event_type in ('click','purchase') then 'rainfall' when event_type in ('view','error') then 'level' else 'wind' end as parameter,
   case when event_type in ('click','purchase') then 'mm' else 'mASD' end as unitName,
-  case when event_id%101=0 then 'bad'
+  case when event_id%101=0 then 'bad' when event_id%89=0 then '12f'
        when event_id%97=0 then concat(cast(cast(floor(value*100+0.5) as bigint) as varchar(12)), '|7')
        else cast(cast(floor(value*100+0.5) as bigint) as varchar(12)) end as value
 from events

@@ -50,12 +50,12 @@ def run_to_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def latest_state(readings: DataFrame) -> DataFrame:
-    """Latest reading per station and parameter; a missing value stays the latest.
+    """Latest reading per station and parameter; a missing time counts as last, as in the batch form.
 
     The value travels in a struct with its time, so that partial results merge
     on every executor before they meet.
     """
-    latest = F.max(F.struct("dateTime", "value", "unitName"))
+    latest = F.max(F.struct(F.col("dateTime").isNull().alias("timeless"), "dateTime", "value", "unitName"))
     return readings.groupBy("stationReference", "parameter").agg(latest.alias("_last")).select(
         "stationReference", "parameter", "_last.dateTime", "_last.value", "_last.unitName"
     )

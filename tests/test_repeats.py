@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from tidemark.functions.readings import clean_value, measure_unit, tidy_qualifier
-from tidemark.operators import impute, knn, lookups, quantiles, ranking, risk
+from tidemark.operators import distance, impute, knn, lookups, quantiles, ranking, risk
 from tidemark.plans.models import AGE_PREDICTORS, AGE_SHARES, fill_age_shares
 from tidemark.session import materialize, work_scope
 from tidemark.streaming.readings import latest_state
@@ -84,6 +84,19 @@ def test_missing_time_counts_as_last(spark):
     assert ranking.latest_per_key(df, ["stationReference"], "dateTime", "value").first()["value"] == 2.0
 
 
+def test_crowded_cells_keep_every_pair(spark, monkeypatch):
+    left = spark.range(300).select(F.col("id").alias("l"), (F.col("id") % 7 * 40.0).alias("easting"), (F.col("id") % 3 * 500.0).alias("northing"))
+    right = left.select(F.col("l").alias("r"), "easting", "northing")
+    plain = sorted(map(tuple, distance.pairs_within(left, right, 100.0, "l", "r").collect()))
+    monkeypatch.setattr(distance, "ROWS_PER_SALT", 20)
+    assert sorted(map(tuple, distance.pairs_within(left, right, 100.0, "l", "r").collect())) == plain and len(plain) > 3000
+
+
+def test_category_codes_are_the_sorted_places(spark):
+    df = spark.createDataFrame([(w,) for w in ["b", "a", None, "c", "a", "É", ""]], "w string")
+    assert sorted(map(tuple, ranking.category_codes(df, "w", "code").collect())) == [("", 0), ("a", 1), ("b", 2), ("c", 3), ("É", 4)]
+
+
 def test_scope_leaves_nothing(spark):
     with work_scope(spark):
         path = materialize(spark.range(3), "scoped").inputFiles()[0].removeprefix("file://")

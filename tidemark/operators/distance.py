@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import EARTH_RADIUS
 from tidemark.functions.numeric import planar_distance
+from tidemark.session import materialize
 
-MAX_PLACES = 1000
+#: A cell with more rows than this is split among tasks, so many rows to each.
 ROWS_PER_SALT = 100_000
-MAX_SALTS = 256
 
 
 def great_circle(lat1: Column, lon1: Column, lat2: Column, lon2: Column, degrees: bool = True) -> Column:
@@ -31,8 +31,8 @@ def great_circle(lat1: Column, lon1: Column, lat2: Column, lon2: Column, degrees
 
 
 def _with_places(df: DataFrame, places: Sequence[tuple], names: tuple[str, str, str]) -> DataFrame:
-    if not 0 < len(places) <= MAX_PLACES:
-        raise ValueError(f"give 1 to {MAX_PLACES} places")
+    if not places:
+        raise ValueError("give a place")
     rows = [
         F.struct(F.lit(p[0]).alias(names[0]), F.lit(float(p[1])).alias(names[1]), F.lit(float(p[2])).alias(names[2]))
         for p in places
@@ -55,22 +55,32 @@ def to_places_wgs84(df: DataFrame, places: Sequence[tuple], latitude: str = "lat
 
 
 def _cell_join(left: DataFrame, right: DataFrame, axes: Sequence[str], size: float, salt_key: str) -> DataFrame:
-    """Pairs in the same or a neighbouring cell; crowded cells are salted.
+    """Pairs in the same or a neighbouring cell; a crowded cell has salts of its own.
 
     ``left`` rows keep one cell and one salt, ``right`` rows go to all
-    neighbours and all salts.
+    neighbours and to all salts of each.
     """
     cells = [f"_c{axis}" for axis in axes]
     left = left.withColumns({c: F.floor(F.col(f"_l{a}") / size) for c, a in zip(cells, axes)})
-    crowd = left.groupBy(*cells).count().agg(F.max("count")).first()[0] or 0
-    salts = max(1, min(MAX_SALTS, math.ceil(crowd / ROWS_PER_SALT)))
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(salt_key), F.lit(salts)).cast("int"))
+    crowded = left.groupBy(*cells).count().where(F.col("count") > ROWS_PER_SALT)
+    crowded = crowded.select(*cells, F.ceil(F.col("count") / ROWS_PER_SALT).cast("int").alias("_salts"))
+    some = not crowded.isEmpty()
+    one = F.lit(0)
+    if some:
+        crowded = materialize(crowded, "crowded")
+        left = left.join(crowded, cells, "left")
+        one = F.pmod(F.xxhash64(salt_key), F.coalesce("_salts", F.lit(1))).cast("int")
+    left = left.withColumn("_salt", one).drop("_salts")
     steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
     for c, a in zip(cells, axes):
         right = right.withColumn("_step", F.explode(steps)).withColumn(
             c, F.floor(F.col(f"_r{a}") / size) + F.col("_step")
         )
-    right = right.withColumn("_salt", F.explode(F.lit(list(range(salts))))).drop("_step")
+    right = right.drop("_step")
+    if some:
+        right = right.join(crowded, cells, "left")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)) if some else F.lit(0)
+    right = right.withColumn("_salt", every).drop("_salts")
     return left.join(right, [*cells, "_salt"]).drop(*cells, "_salt")
 
 

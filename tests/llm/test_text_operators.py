@@ -15,7 +15,8 @@ from tokenizers import Tokenizer
 
 from tests.conftest import DATA
 from tidemark.llm import bpe, imatch, mixing, sharding, token_store
-from tidemark.llm.common import positions, table
+from tidemark.llm.common import table
+from tidemark.operators.ranking import positions
 
 
 def rows(df):

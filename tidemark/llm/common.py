@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, with underscores in front until no column of ``df`` has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def remainder(key: str, divisor: int) -> Column:
     """crc32 of the key written as text, modulo ``divisor``; null for a null key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % divisor
@@ -37,46 +25,3 @@ def hashed_share(rows: DataFrame, key: str, share: float) -> DataFrame:
     if share >= 1:
         return rows
     return rows.where(F.pmod(F.xxhash64(F.lit("share"), F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-
-def positions(df: DataFrame, order: list[Column], pos: str, sums: dict[str, str] | None = None) -> DataFrame:
-    """``df`` with its place (from 0) in the given order and, for ``sums`` {column: name}, running totals.
-
-    Rows are range-partitioned, so no task holds them all; what lies before a
-    partition is added from one row per partition. Totals include the row itself.
-    The sorted rows are written once, which fixes the partition of every row.
-    """
-    sums = sums or {}
-    part, place, count = fresh(df, "_part"), fresh(df, "_place"), fresh(df, "_count")
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
-    )
-    placed = materialize(placed, "positions")
-    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    before = placed.groupBy(part).agg(F.count(F.lit(1)).alias(count), *(F.sum(c).alias(f"{count}_{c}") for c in sums))
-    # One row per partition: as small as the list of tasks.
-    before = before.select(
-        F.col(part),
-        F.coalesce(F.sum(count).over(ahead), F.lit(0)).alias(f"{count}_"),
-        *(F.coalesce(F.sum(f"{count}_{c}").over(ahead), F.lit(0)).alias(f"{count}_{c}") for c in sums),
-    )
-    if sums:
-        inside = Window.partitionBy(part).orderBy(place).rowsBetween(Window.unboundedPreceding, 0)
-        placed = placed.withColumns({name: F.sum(c).over(inside) for c, name in sums.items()})
-    placed = placed.join(F.broadcast(before), part)
-    found = {pos: F.col(place) + F.col(f"{count}_")} | {name: F.col(name) + F.col(f"{count}_{c}") for c, name in sums.items()}
-    return placed.withColumns(found).select(*df.columns, pos, *sums.values())
-
-
-def batches(items: Iterable, size: int) -> Iterable[list]:
-    """Lists of at most ``size`` items."""
-    batch: list = []
-    for item in items:
-        batch.append(item)
-        if len(batch) >= size:
-            yield batch
-            batch = []
-    if batch:
-        yield batch

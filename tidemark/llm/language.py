@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, held_out
+from tidemark.llm.common import held_out
+from tidemark.operators.ranking import fresh
 from tidemark.session import materialize
 
 #: At most about this many documents of each language are learned from; chosen by a hash of the id.

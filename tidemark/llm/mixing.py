@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import positions
+from tidemark.operators.ranking import positions
 from tidemark.session import materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"

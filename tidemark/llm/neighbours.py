@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hashed_share, positions
+from tidemark.llm.common import hashed_share
+from tidemark.operators.ranking import positions
 from tidemark.session import materialize
 
 NEAREST = 10

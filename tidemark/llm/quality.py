@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, hashed_share, held_out
+from tidemark.llm.common import hashed_share, held_out
+from tidemark.operators.ranking import fresh
 from tidemark.session import materialize
 
 #: At most about this many labelled rows are learned from; chosen by a hash of the id, the same in every run.

@@ -14,7 +14,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import positions
+from tidemark.operators.ranking import positions
 from tidemark.session import materialize
 
 #: Cells into which each uncertain stretch is divided per look at the totals.

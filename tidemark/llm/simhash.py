@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh
+from tidemark.operators.ranking import fresh
 from tidemark.llm.components import roots
 from tidemark.session import materialize
 

@@ -15,6 +15,7 @@ import os
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,8 @@ SEGMENT_IDS = 1 << 20
 SEGMENT_DOCS = 1 << 12
 #: Pieces whose ids a worker remembers; at this many the older half goes.
 REMEMBERED = 1_600_000
-STOPS = ".,;:!?"
+#: Pieces that one call of the library encodes, a line each.
+TOGETHER = 50
 
 
 class Memory(dict):
@@ -68,10 +70,30 @@ class Encoder:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
+        (self.line_end,) = self.library.encode("\n", add_special_tokens=False).ids
         self.spaced, self.plain = Memory(), Memory()  # pieces after a blank, and others
 
-    def ask(self, pieces: list[str]) -> list[bytes]:
-        return [array(self.kind, e.ids).tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+    def ask(self, pieces: list[str], before: str) -> list[bytes]:
+        """The ids of distinct pieces, each with ``before`` in front.
+
+        Words and numbers go to the library many at a time, a line each: their
+        ids stand between the ids of the line ends, which nothing else in them has.
+        """
+        plain = [p for p in pieces if p.isalnum()]
+        other = [p for p in pieces if not p.isalnum()]
+        lines = ["\n".join([before + p for p in plain[i : i + TOGETHER]]) for i in range(0, len(plain), TOGETHER)]
+        found: dict[str, bytes] = {}
+        words = iter(plain)
+        for encoding in self.library.encode_batch_fast(lines, add_special_tokens=False):
+            ids, start = encoding.ids, 0
+            for _ in range(ids.count(self.line_end)):
+                end = ids.index(self.line_end, start)
+                found[next(words)] = array(self.kind, ids[start:end]).tobytes()
+                start = end + 1
+            found[next(words)] = array(self.kind, ids[start:]).tobytes()
+        for piece, encoding in zip(other, self.library.encode_batch_fast([before + p for p in other], add_special_tokens=False), strict=True):
+            found[piece] = array(self.kind, encoding.ids).tobytes()
+        return [found[p] for p in pieces]
 
     @staticmethod
     def split(piece: str) -> list[str] | None:
@@ -86,7 +108,7 @@ class Encoder:
             return [piece]
         out: list[str] = []
         for line in lines:
-            word = line.rstrip(STOPS)
+            word = line.rstrip(punctuation)
             out += ["\n"] * bool(out) + ([word, line[len(word) :]] if word != line and word[-1:].isalpha() else [line])
         return out
 
@@ -94,41 +116,45 @@ class Encoder:
         """The ids of each text, packed in ``width`` bytes each."""
         self.spaced.trim()
         self.plain.trim()
-        out: list[bytes | list[str]] = []
+        out: list[tuple[str, list[bytes | None]]] = []  # what comes first, and the ids of the pieces after blanks
+        open_places: list[tuple[list[bytes | None], int, str]] = []
         parts: dict[str, list[str]] = {}  # pieces that are not known yet, in their parts
+        get, recall = self.spaced.get, self.spaced.recall
         for text in texts:
             first, *rest = text.split(" ")
-            found = list(map(self.spaced.get, rest))
-            if first and (start := self.plain.recall(first)) is None:
-                start = first
-            elif not first:
-                start = b""
-            if start.__class__ is bytes and None not in found:
-                out.append(start + b"".join(found))
-                continue
+            found = list(map(get, rest))
             unsafe = first != "" and first[-1].isspace()
-            for piece, ids in zip(rest, found, strict=True):
-                if ids is None and piece not in parts and self.spaced.recall(piece) is None:
+            places = []
+            for at in [i for i, ids in enumerate(found) if ids is None]:
+                piece = rest[at]
+                if piece not in parts:
+                    ids = found[at] = recall(piece)
+                    if ids is not None:
+                        continue
                     cut = self.split(piece)
                     if cut is None:
                         unsafe = True
                         break
                     parts[piece] = cut
-            out.append([text] if unsafe else [first, *rest])
+                places.append((found, at, piece))
+            if unsafe:
+                out.append((text, []))
+            else:
+                out.append((first, found))
+                open_places += places
         # Ask for what is new: whole pieces after a blank, and parts without one.
         new = {cut[0] for cut in parts.values()}
-        new = [p for p in new if self.spaced.recall(p) is None]
-        self.spaced.update(zip(new, self.ask([f" {p}" for p in new]), strict=True))
-        new = {p for cut in parts.values() for p in cut[1:]} | {x[0] for x in out if x.__class__ is list and x[0]}
+        new = [p for p in new if recall(p) is None]
+        self.spaced.update(zip(new, self.ask(new, " "), strict=True))
+        new = {p for cut in parts.values() for p in cut[1:]} | {first for first, _ in out if first}
         new = [p for p in new if self.plain.recall(p) is None]
-        self.plain.update(zip(new, self.ask(new), strict=True))
+        self.plain.update(zip(new, self.ask(new, ""), strict=True))
         for piece, cut in parts.items():
             if len(cut) > 1:
                 self.spaced[piece] = self.spaced[cut[0]] + b"".join(map(self.plain.__getitem__, cut[1:]))
-        return [
-            x if x.__class__ is bytes else (self.plain[x[0]] if x[0] else b"") + b"".join(map(self.spaced.__getitem__, x[1:]))
-            for x in out
-        ]
+        for found, at, piece in open_places:
+            found[at] = self.spaced[piece]
+        return [(self.plain[first] if first else b"") + b"".join(found) for first, found in out]
 
 
 @functools.lru_cache(maxsize=4)

@@ -121,7 +121,8 @@ def fit(rows: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
                 tally: Counter = Counter()
                 for text in group["text"]:
                     tally.update(words_of(text))
-                yield pd.DataFrame({"lang": name, "word": list(tally), "n": list(tally.values())})
+                if tally:
+                    yield pd.DataFrame({"lang": name, "word": list(tally), "n": list(tally.values())})
 
     def gram_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -130,7 +131,9 @@ def fit(rows: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
                 for order in ORDERS:
                     for gram in grams_of(word, order):
                         tally[name, order, gram] += n
-            names, orders, found = zip(*tally, strict=True) if tally else ((), (), ())
+            if not tally:
+                continue
+            names, orders, found = zip(*tally, strict=True)
             yield pd.DataFrame({"lang": names, "size": orders, "gram": found, "n": list(tally.values())})
 
     def commonest(counts: DataFrame, within: list[str], entry: str, most: int) -> list:

@@ -279,7 +279,8 @@ def fit(rows: DataFrame, landmarks: int = LANDMARKS) -> Model:
         for frame in frames:
             for at, text, label in frame.itertuples(index=False):
                 found = sorted({p for s in sentences(text) for p in pieces(s)} | set(pieces(text)))
-                yield pd.DataFrame({"id": at, "label": label, "piece": found})
+                if found:
+                    yield pd.DataFrame({"id": at, "label": label, "piece": found})
 
     listed = rows.select("id", "text", "label").mapInPandas(cut, "id bigint, label int, piece string").distinct()
     listed = materialize(listed, "toxic-pieces")
@@ -323,7 +324,8 @@ def fit(rows: DataFrame, landmarks: int = LANDMARKS) -> Model:
         own = Kernel(chosen)
         for frame in frames:
             most = own(frame["piece"].to_list()).max(axis=1, initial=0)
-            yield frame[most >= math.exp((ALIKE - 1) / WIDTH)]
+            kept = frame[most >= math.exp((ALIKE - 1) / WIDTH)]
+            yield pd.DataFrame({name: kept[name].to_list() for name in kept}).astype({"bad": "float64", "good": "float64"})
 
     marked = counts.where("bad > 0").mapInPandas(resembling, counts.schema).orderBy(F.col("bad").desc(), "piece").limit(MARKED)
     marked = marked.collect()
@@ -361,7 +363,8 @@ def mistaken(clean: DataFrame, model: Model) -> dict[str, float]:
 
     def valued(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"piece": frame["piece"], "good": frame["good"], "value": model.values(frame["piece"].to_list())})
+            found = frame["piece"].to_list()
+            yield pd.DataFrame({"piece": found, "good": frame["good"].to_numpy(), "value": model.values(found)})
 
     found = clean.select("piece", "good").mapInPandas(valued, "piece string, good double, value double")
     return {r["piece"]: r["good"] for r in found.orderBy(F.col("value").desc(), "piece").limit(MISTAKEN).collect()}

@@ -84,7 +84,7 @@ def _build_cells(points: DataFrame, grid: Grid, leaf_rows: int) -> DataFrame:
     opened = split.select(F.col("_node").alias("_parent"))
     kept = cells.join(opened, "_parent", "left_semi").unionByName(cells.where(F.col("_level") == grid.levels))
     leaf = (F.col("_level") == 0) | (F.col("_n") <= leaf_rows)
-    return materialize(kept.withColumn("_leaf", leaf), "tree")
+    return materialize(kept.withColumn("_leaf", leaf), "tree", "_level")
 
 
 CELL = ("_node", "_n", "_x0", "_x1", "_y0", "_y1")
@@ -164,7 +164,8 @@ def nearest(
         grid, tree, facts = _index(points, box, leaf_rows)
         # Few input bytes become many pairs: fix the number of tasks, or the
         # planner would merge them by input size.
-        tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
+        spark = queries.sparkSession
+        tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
         leaves = _walk(asked.repartition(tasks, query_id), tree, grid.levels, facts, k, query_id)
         tagged = (
             _cell_frame(points, grid, facts["low"], facts["high"])
@@ -183,9 +184,13 @@ def nearest(
 def _walk(asked: DataFrame, tree: DataFrame, levels: int, facts, k: int, query_id: str) -> DataFrame:
     """Leaf cells that can hold one of the k nearest points, per query."""
     cell = [F.col(name) for name in CELL[1:]]
-    below = tree.where(F.col("_level") < levels).select(F.col("_parent").alias("_at"), F.col("_node").alias("_next"), *cell)
-    stay = tree.where("_leaf").select(F.col("_node").alias("_at"), F.col("_node").alias("_next"), *cell)
-    steps = below.unionByName(stay)
+
+    def steps(level: int) -> DataFrame:
+        """From the cells of a level down to their children; leaves of that level and above stay."""
+        below = tree.where(F.col("_level") == level - 1).select(F.col("_parent").alias("_at"), F.col("_node").alias("_next"), *cell)
+        stay = tree.where(F.col("_leaf") & (F.col("_level") >= level)).select(F.col("_node").alias("_at"), F.col("_node").alias("_next"), *cell)
+        return below.unionByName(stay)
+
     top = F.array(*[F.struct(*[F.lit(row[name]).alias(name) for name in CELL]) for row in facts["top"]])
     front = asked.select(query_id, "_qx", "_qy", F.lit(float("inf")).alias("_radius"), F.inline(top))
     front = front.withColumnRenamed("_node", "_next")
@@ -198,7 +203,8 @@ def _walk(asked: DataFrame, tree: DataFrame, levels: int, facts, k: int, query_i
     enough = F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(mine)
     for step in range(levels - facts["low"]):
         if step:
-            front = front.join(steps, F.col("_node") == F.col("_at"))
+            # The upper levels are a few rows each, which the planner sees and sends to every task.
+            front = front.join(steps(levels - step), F.col("_node") == F.col("_at"))
         front = (
             front.select(
                 query_id, "_qx", "_qy", "_radius", "_n", F.col("_next").alias("_node"), near.alias("_near"), far.alias("_far")

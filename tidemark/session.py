@@ -72,13 +72,14 @@ def work_scope(spark: SparkSession):
         del given[before:]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, *folders: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
     planner a true size, so that it broadcasts the table only if it is small.
+    Columns named in ``folders`` become folders, so filters on them skip files.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

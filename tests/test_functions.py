@@ -108,7 +108,7 @@ def test_angles(spark):
 def test_readings(spark):
     df = spark.createDataFrame([("1.5",), ("0.2|0.4",), ("bad",), (None,), ("nan",), ("x|1",)], "v string")
     assert [row[0] for row in df.select(r.clean_value(F.col("v"))).collect()] == [1.5, 0.2, None, None, None, None]
-    url = "http://x/id/measures/0184TH-rainfall-tipping_bucket_raingauge-t-15_min-mm/readings/2025"
+    url = "http://x/id/measures/0184TH-rainfall-tipping_bucket_raingauge-t-15_min-mm/2025-01-01T00-00-00Z"
     m = F.lit(url)
     row = spark.range(1).select(
         r.measure_station(m).alias("s"), r.tidy_qualifier(r.measure_qualifier(m)).alias("q"), r.measure_unit(m).alias("u")
@@ -123,3 +123,24 @@ def test_numbers(spark):
     assert [row[0] for row in df.select(n.clamp(F.col("x"), low, high)).collect()] == [1.0, 1.5, 2.0, None]
     probabilities = spark.createDataFrame([(7,), (1,), (9,), (None,)], "c int").select(n.flood_probability(F.col("c")))
     assert [row[0] for row in probabilities.collect()] == [0.05, 0.001, 0.0, 0.0]
+
+
+def test_careless_postcodes(spark):
+    from tidemark.functions.postcode import canonical_postcode, postcode_district, postcode_sector
+
+    samples = {
+        "po9 5ea": ("PO9 5EA", "PO9 5", "PO9"),
+        "Ex15 3XE": ("EX15 3XE", "EX15 3", "EX15"),
+        "PO144RJ": ("PO14 4RJ", "PO14 4", "PO14"),
+        "SE24  9UX": ("SE24 9UX", "SE24 9", "SE24"),
+        "gu222ws": ("GU22 2WS", "GU22 2", "GU22"),
+        "SN8_1EA": ("SN8 1EA", "SN8 1", "SN8"),
+        "SE2-0XP": ("SE2 0XP", "SE2 0", "SE2"),
+        "RG12+1NB": ("RG12 1NB", "RG12 1", "RG12"),
+        " SO1 8BJ": ("SO1 8BJ", "SO1 8", "SO1"),
+        "SW1A1AA ": ("SW1A 1AA", "SW1A 1", "SW1A"),
+    }
+    raw = F.col("raw")
+    df = spark.createDataFrame([(k,) for k in samples], "raw string")
+    got = df.select("raw", canonical_postcode(raw), postcode_sector(raw), postcode_district(raw)).collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == samples

@@ -70,6 +70,8 @@ LONDON_NORTHING = 180000.0
 PALETTE_SIZE = 19
 RAINFALL_STATION_NAME = "Rainfall station"
 NEAR_WATERCOURSE_METRES = 2000.0
+NEAR_WATERCOURSE = "UnknownNearbyWatercourse"
+NO_WATERCOURSE = "NoWatercourse"
 
 # Housing-age shares of a district and the two predictors used to fill them.
 AGE_SHARES = (

@@ -11,7 +11,9 @@ from tidemark.constants import (
     CLASS_PROBABILITY,
     LONDON_EASTING,
     LONDON_NORTHING,
+    NEAR_WATERCOURSE,
     NEAR_WATERCOURSE_METRES,
+    NO_WATERCOURSE,
     RAIN_CLASSES,
     RAIN_TOP_CLASS,
 )
@@ -70,7 +72,7 @@ def watercourse_or_guess(name: Column, distance: Column) -> Column:
     """Name if there is one, otherwise a label that tells near from far."""
     return F.coalesce(
         name,
-        F.when(distance < NEAR_WATERCOURSE_METRES, "UnknownNearbyWatercourse").otherwise("NoWatercourse"),
+        F.when(distance < NEAR_WATERCOURSE_METRES, NEAR_WATERCOURSE).otherwise(NO_WATERCOURSE),
     )
 
 

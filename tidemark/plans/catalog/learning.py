@@ -102,7 +102,7 @@ def cls4_coin(v: Views):
 @query("fit1_fit_dispatcher")
 def fit1(v: Views):
     e = engine(v)
-    e.fit_to_data(["knn", "modal_local_authority", "seven_class_tool"], unit_data=v.labelled.where("k % 4 = 1"))
+    e.fit_to_data(["knn", "modal_local_authority", "seven_class_tool"], unit_data=v.labelled.where("k % 4 = 1").withColumn("riskLabel", F.lit(7)))
     found = e.predict_flood_class_from_postcode(requests(v), "seven_class_tool")
     return found.groupBy("riskLabel").count()
 

@@ -52,37 +52,6 @@ def str1(v: Views):
     return mangled(v).select("k", canonical_postcode(F.col("raw")).alias("canonical"))
 
 
-GOLDEN = """values ('po9 5ea','PO9 5EA','PO9 5','PO9'), ('Ex15 3XE','EX15 3XE','EX15 3','EX15'),
- ('PO144RJ','PO14 4RJ','PO14 4','PO14'), ('SE24  9UX','SE24 9UX','SE24 9','SE24'), ('PL2  2YZ','PL2 2YZ','PL2 2','PL2'),
- ('gu222ws','GU22 2WS','GU22 2','GU22'), ('SN8_1EA','SN8 1EA','SN8 1','SN8'), ('SE2-0XP','SE2 0XP','SE2 0','SE2'),
- ('RG12+1NB','RG12 1NB','RG12 1','RG12'), (' SO1 8BJ','SO1 8BJ','SO1 8','SO1'), ('SW1A1AA ','SW1A 1AA','SW1A 1','SW1A')"""
-
-
-@query(
-    "str1_golden_postcodes",
-    f"""select raw, canonical, sector, district, count(*) as n
-        from ({GOLDEN}) g(raw, canonical, sector, district), customer group by all""",
-)
-def str1_golden(v: Views):
-    """Each row of the customer table writes one of the sample postcodes."""
-    raws = [line.split("'")[1] for line in GOLDEN.replace("values", "").split("(")[1:]]
-    texts = F.array(*[F.lit(r) for r in raws])
-    raw = F.col("raw")
-    return (
-        v.table("customer")
-        .select(F.explode(texts).alias("raw"))
-        .groupBy("raw")
-        .agg(F.count("*").alias("n"))
-        .select(
-            "raw",
-            canonical_postcode(raw).alias("canonical"),
-            postcode_sector(raw).alias("sector"),
-            postcode_district(raw).alias("district"),
-            "n",
-        )
-    )
-
-
 @query("str2_district", f"select k, {DISTRICT} as district from unit", ("unit",))
 def str2(v: Views):
     return mangled(v).select("k", postcode_district(F.col("raw")).alias("district"))

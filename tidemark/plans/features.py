@@ -14,12 +14,12 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.constants import NEAR_WATERCOURSE_METRES
+from tidemark.constants import NEAR_WATERCOURSE, NEAR_WATERCOURSE_METRES, NO_WATERCOURSE
 from tidemark.operators.quantiles import exact_quantiles, modes, scalars
 
 WATERCOURSE_RULE = (
     "coalesce(nearestWatercourse, case when distanceToWatercourse < "
-    f"{NEAR_WATERCOURSE_METRES} then 'UnknownNearbyWatercourse' else 'NoWatercourse' end)"
+    f"{NEAR_WATERCOURSE_METRES} then '{NEAR_WATERCOURSE}' else '{NO_WATERCOURSE}' end)"
 )
 
 

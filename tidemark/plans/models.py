@@ -252,7 +252,8 @@ class BoostedPrices:
                 "_held_out": F.pmod(keyed_hash(F.col("postcode"), seed), F.lit(10)) == 0,
             }
         )
-        stages = feature_stages(train, robust=PRICE_NUMBERS[merge_with], categorical=["soilType"])
+        # Medians, scales and categories come from the rows that train.
+        stages = feature_stages(train.where("not _held_out"), robust=PRICE_NUMBERS[merge_with], categorical=["soilType"])
         learner = GBTRegressor(
             featuresCol="features",
             labelCol="_label",

@@ -20,6 +20,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 SEED = "mix"
+#: Rows of one class of a source meet its figures in so many tasks, however many they are.
+SALTS = 16
 
 
 def targets(sources: DataFrame, share: float = SHARE, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -74,6 +76,14 @@ def taken_per_class(classes: DataFrame) -> DataFrame:
     return listed.select("source", F.explode(F.expr(fold)["takes"]).alias("_take")).select("source", "_take.class", "_take.take")
 
 
+def with_class(rows: DataFrame, classes: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` (source, _class) with the figures of their class (_source, _of), of which each salt has a copy."""
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "size"), F.lit(SALTS)).cast("int"))
+    classes = classes.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_class") == F.col("_of")) & (F.col("_salt") == F.col("_copy"))
+    return rows.join(classes, same, how).drop("_salt", "_copy")
+
+
 def unit_draw() -> Column:
     """A number in (0, 1) that depends on the document's id and the seed alone."""
     digest = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
@@ -111,7 +121,7 @@ def plan(docs: DataFrame, share: float = SHARE, weights: tuple[float, ...] = WEI
     takes = takes.select(
         F.col("source").alias("_source"), F.col("class").alias("_of"), "take", F.col("words").alias("_sum"), "source_size", "target", "_sure"
     )
-    drawn = classed.join(takes, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_class") == F.col("_of")), "left")
+    drawn = with_class(classed, takes, "left")
     # Documents without words belong to no class; their source's figures come from the targets.
     bare = drawn.where("_of is null").drop(*takes.columns).join(aim, F.col("source").eqNullSafe(F.col("_source"))).withColumn("copies", F.col("_sure"))
     chance = F.col("take") * F.col("_words") / F.col("_sum")
@@ -123,7 +133,7 @@ def plan(docs: DataFrame, share: float = SHARE, weights: tuple[float, ...] = WEI
         "_at",
     )
     first = ranked.groupBy(F.col("source").alias("_source"), F.col("_class").alias("_of")).agg(F.min("_at").alias("_first"))
-    ranked = ranked.join(first, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_class") == F.col("_of")))
+    ranked = with_class(ranked, first)
     ranked = ranked.withColumn("copies", F.col("_sure") + F.when(F.col("_at") - F.col("_first") < F.col("take"), 1).otherwise(0))
     columns = ["doc_id", "source", "size", "rows", "source_size", "target", "copies"]
     return ranked.select(columns).unionByName(bare.select(columns)).withColumn("copies", F.col("copies").cast("int"))

@@ -73,8 +73,8 @@ class Encoder:
         (self.line_end,) = self.library.encode("\n", add_special_tokens=False).ids
         self.spaced, self.plain = Memory(), Memory()  # pieces after a blank, and others
 
-    def ask(self, pieces: list[str], before: str) -> list[bytes]:
-        """The ids of distinct pieces, each with ``before`` in front.
+    def ask(self, pieces: list[str], before: str, found: dict[str, bytes]) -> None:
+        """Put the ids of distinct pieces, each with ``before`` in front, in ``found``.
 
         Words and numbers go to the library many at a time, a line each: their
         ids stand between the ids of the line ends, which nothing else in them has.
@@ -82,18 +82,17 @@ class Encoder:
         plain = [p for p in pieces if p.isalnum()]
         other = [p for p in pieces if not p.isalnum()]
         lines = ["\n".join([before + p for p in plain[i : i + TOGETHER]]) for i in range(0, len(plain), TOGETHER)]
-        found: dict[str, bytes] = {}
-        words = iter(plain)
+        width, words = self.width, iter(plain)
         for encoding in self.library.encode_batch_fast(lines, add_special_tokens=False):
             ids, start = encoding.ids, 0
+            raw = array(self.kind, ids).tobytes()
             for _ in range(ids.count(self.line_end)):
                 end = ids.index(self.line_end, start)
-                found[next(words)] = array(self.kind, ids[start:end]).tobytes()
+                found[next(words)] = raw[start * width : end * width]
                 start = end + 1
-            found[next(words)] = array(self.kind, ids[start:]).tobytes()
+            found[next(words)] = raw[start * width :]
         for piece, encoding in zip(other, self.library.encode_batch_fast([before + p for p in other], add_special_tokens=False), strict=True):
             found[piece] = array(self.kind, encoding.ids).tobytes()
-        return [found[p] for p in pieces]
 
     @staticmethod
     def split(piece: str) -> list[str] | None:
@@ -119,7 +118,7 @@ class Encoder:
         out: list[tuple[str, list[bytes | None]]] = []  # what comes first, and the ids of the pieces after blanks
         open_places: list[tuple[list[bytes | None], int, str]] = []
         parts: dict[str, list[str]] = {}  # pieces that are not known yet, in their parts
-        get, recall = self.spaced.get, self.spaced.recall
+        get, recall, older = self.spaced.get, self.spaced.recall, self.spaced.old.get
         for text in texts:
             first, *rest = text.split(" ")
             found = list(map(get, rest))
@@ -128,10 +127,11 @@ class Encoder:
             for at in [i for i, ids in enumerate(found) if ids is None]:
                 piece = rest[at]
                 if piece not in parts:
-                    ids = found[at] = recall(piece)
+                    ids = older(piece)
                     if ids is not None:
+                        found[at] = self.spaced[piece] = ids
                         continue
-                    cut = self.split(piece)
+                    cut = [piece] if piece.isalnum() else self.split(piece)
                     if cut is None:
                         unsafe = True
                         break
@@ -145,10 +145,10 @@ class Encoder:
         # Ask for what is new: whole pieces after a blank, and parts without one.
         new = {cut[0] for cut in parts.values()}
         new = [p for p in new if recall(p) is None]
-        self.spaced.update(zip(new, self.ask(new, " "), strict=True))
+        self.ask(new, " ", self.spaced)
         new = {p for cut in parts.values() for p in cut[1:]} | {first for first, _ in out if first}
         new = [p for p in new if self.plain.recall(p) is None]
-        self.plain.update(zip(new, self.ask(new, ""), strict=True))
+        self.ask(new, "", self.plain)
         for piece, cut in parts.items():
             if len(cut) > 1:
                 self.spaced[piece] = self.spaced[cut[0]] + b"".join(map(self.plain.__getitem__, cut[1:]))

@@ -84,6 +84,18 @@ def test_added_model(engine, some):
     assert {row["medianPrice"] for row in rows} == {1.0}
 
 
+def test_added_models_of_one_key_stay_with_their_tasks(engine, some):
+    m.register_model("house_price", "same", "Price", lambda e: lambda asked: asked.withColumn("medianPrice", F.lit(2.0)))
+    m.register_model("flood_class_from_postcode", "same", "Class", lambda e: lambda asked: asked.withColumn("riskLabel", F.lit(3)))
+    try:
+        engine.fit_to_data("same")
+        assert {r["medianPrice"] for r in engine.predict_median_house_price(some, "same").collect()} == {2.0}
+        assert {r["riskLabel"] for r in engine.predict_flood_class_from_postcode(some, "same").collect()} == {3}
+    finally:
+        m.unregister_model("house_price", "same")
+        m.unregister_model("flood_class_from_postcode", "same")
+
+
 def test_neighbour_models(engine):
     engine.fit_to_data("knn")
     places = [(r["easting"], r["northing"]) for r in engine.units.orderBy("postcode").limit(3).collect()]

@@ -86,7 +86,9 @@ class RiskEngine:
     def _extra(self, task: str, key: str, requests: DataFrame) -> DataFrame:
         if (task, key) not in m.EXTRA_BUILDERS:
             raise NotImplementedError(f"model {key} not implemented")
-        return self._fitted(key)(requests)
+        if (task, key) not in self.models:
+            raise NotFitted(f"fit model {key!r} first")
+        return self.models[task, key](requests)
 
     # Fitting ------------------------------------------------------------
 
@@ -101,13 +103,15 @@ class RiskEngine:
         if unit_data is not None:
             self.units = upsert(self.units, unit_data, "postcode")
             self.postcodes = upsert(self.postcodes, unit_data.select(*RAW_FEATURES), "postcode")
-        extra = {key: builder for (_, key), builder in m.EXTRA_BUILDERS.items()}
-        known = {key for registry in m.REGISTRIES.values() for key in registry}
+        own = {key for task, registry in m.REGISTRIES.items() for key in registry if (task, key) not in m.EXTRA_BUILDERS}
         for key in [models] if isinstance(models, str) else models:
-            if key not in known:
-                raise ValueError(f"unknown model {key!r}")
-            if key in extra:
-                self.models[key] = extra[key](self)
+            # Added models belong to their task, so equal keys of two tasks do not meet.
+            added = [(task, name) for task, name in m.EXTRA_BUILDERS if name == key]
+            for task in added:
+                self.models[task] = m.EXTRA_BUILDERS[task](self)
+            if key not in own:
+                if not added:
+                    raise ValueError(f"unknown model {key!r}")
             elif key == "seven_class_tool":
                 fitted = m.SevenClassForest.fit(self.units, self.forest)
                 fitted.reference = self.postcodes

@@ -12,7 +12,7 @@ pair's tally decides which one of its lists reports it, and it is then verified.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, islice
 
 import numpy as np
@@ -187,13 +187,11 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     return marked.join(least.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, k: int = BITS) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the one with the smallest key, null keys last.
+def first_of_groups(docs: DataFrame, marked: DataFrame, trees: DataFrame, of: Callable[[Column], Column], key: str, text: str) -> DataFrame:
+    """The row of ``docs`` with the smallest key of each root, null keys last; one of the rows that repeat key and fingerprint.
 
-    Of rows that repeat key and fingerprint one stays. Columns stay as they are.
+    ``marked`` has (key, fp) of each row, ``trees`` (fp, root), and ``of`` makes the fingerprint of a text.
     """
-    marked = materialize(docs.select(F.col(key).alias("key"), fingerprints(F.col(text), width).alias("fp")), "simhash")
-    trees = rooted(marked, k)
     each = marked.groupBy("key", "fp").agg(F.count(F.lit(1)).alias("rows"))
     least = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "fp")).alias("least")
     # In two steps, so that a group of very many rows meets as one row per fingerprint.
@@ -206,12 +204,21 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     stay = stay.select(F.col("key").alias(names["key"]), F.col("fp").alias(names["fp"]), F.coalesce("_twice", F.lit(False)).alias(names["twice"]))
     kept = docs.join(stay, docs[key].eqNullSafe(F.col(names["key"])))
     # Fingerprints are needed again only where a key repeats.
-    kept = kept.withColumn(names["own"], fingerprints(F.when(F.col(names["twice"]), F.col(text)), width))
+    kept = kept.withColumn(names["own"], of(F.when(F.col(names["twice"]), F.col(text))))
     kept = kept.where(~F.col(names["twice"]) | (F.col(names["own"]) == F.col(names["fp"])))
     alike = Window.partitionBy(names["key"], names["fp"]).orderBy(F.col(text))
     return kept.withColumn(names["rank"], F.row_number().over(alike)).where(F.col(names["rank"]) == 1).select(*docs.columns)
 
 
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, k: int = BITS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the smallest key, null keys last.
+
+    Of rows that repeat key and fingerprint one stays. Columns stay as they are.
+    """
+    marked = materialize(docs.select(F.col(key).alias("key"), fingerprints(F.col(text), width).alias("fp")), "simhash")
+    return first_of_groups(docs, marked, rooted(marked, k), lambda texts: fingerprints(texts, width), key, text)
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """Per document: its fingerprint in 16 hexadecimal digits and the id of its group."""
     return near_groups(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -43,6 +43,10 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+def lettered(words: list[str]) -> bool:
+    return any(c.isalpha() for w in words for c in w)
+
+
 def grams_of(word: str, order: int) -> list[str]:
     """Grams of a word with its ends marked; none if the word is shorter than the order."""
     marked = f"^{word}$" if order > 1 else word
@@ -86,7 +90,7 @@ class Scorer:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
-        if not any(c.isalpha() for w in words for c in w) or not self.model.languages:
+        if not lettered(words) or not self.model.languages:
             return UNKNOWN, 0.0
         if len(self.known) > REMEMBERED:
             self.known.clear()
@@ -203,7 +207,18 @@ def judged(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more; columns stay."""
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more; columns stay.
+
+    A model that knows no language (no row to learn from had one) tells nothing
+    about a text: then only texts without a letter, and null ones, go.
+    """
+    if not model.languages:
+
+        @F.pandas_udf("boolean")
+        def of(texts: pd.Series) -> pd.Series:
+            return pd.Series([lettered(words_of(t)) for t in texts], dtype=bool)
+
+        return docs.where(of(F.col(text)))
     name = fresh(docs, "_found")
     found = predict(docs, model, text, name)
     return found.where((F.col(f"{name}.lang") != UNKNOWN) & (F.col(f"{name}.score") >= least)).select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, imatch, language, mixing, neighbours, quality, sharding, simhash, token_store, toxicity
+from tidemark.llm import bpe, imatch, language, minhash, mixing, neighbours, quality, sharding, simhash, token_store, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minimax_shards": lambda spark, folder: sharding.assignment(table(spark, folder, "documents")),
     "op9_token_store": lambda spark, folder: token_store.stored(table(spark, folder, "documents")),
     "op10_pareto_mix": lambda spark, folder: mixing.taken(table(spark, folder, "documents")),
+    "op13_bbit_minhash": lambda spark, folder: minhash.grouped(table(spark, folder, "documents")),
 }
 
 ORACLES: dict[str, str] = {

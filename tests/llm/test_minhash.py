@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.conftest import DATA
@@ -119,3 +120,14 @@ def test_null_and_repeated_keys(spark):
     rows = [(None, "a b c d"), (5, "a b c d"), (None, "p q r"), (None, "P Q  R"), (9, "x y z"), (9, "other words of a row with the same key")]
     got = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.grouped(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
     assert sorted(got, key=str) == sorted([(None, 5, False), (5, 5, True), (None, None, True), (None, None, True), (9, 9, True), (9, 9, True)], key=str)
+
+
+def test_cells_count_all_bits():
+    """Packed bits are compared as unsigned words."""
+    generator = np.random.default_rng(6)
+    words = generator.integers(-(2**63), 2**63, (40, len(minhash.PLANES)), dtype=np.int64)
+    words[20:] = words[:20]
+    words[20:, 0] ^= np.int64(-(2**63)) | np.int64(5)
+    frame = pd.DataFrame(words, columns=minhash.PLANES).assign(fp=range(40), n=10, side=[0] * 20 + [1] * 20)
+    found = {at: dict(zip(able.tolist(), apart.tolist(), strict=True)) for at, able, apart in minhash.Cell(frame, 80, 90).likely(np.zeros(40, np.int64), True)}
+    assert all(found[at][at + 20] == 3 for at in range(20))

@@ -21,7 +21,9 @@ a pair of documents are taken for one with a chance below 1e-10 for texts of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 from math import exp, lgamma, log
 
 import numpy as np
@@ -46,9 +48,11 @@ PLANES = [f"w{i}" for i in range(KEPT * WORDS)]
 #: Chance that a pair at the threshold is lost by the estimate.
 LOST = 1e-9
 #: Up to so many sets share a short band.
-SHORT = 64
-#: Sets of one side of a cell, about.
-CELL = 1024
+SHORT = 16
+#: Sets of one side of a cell, about; packed bits only, and whole sets.
+CELL, WHOLE_CELL = 1024, 256
+#: So many sets of another group are tried first for a set of a long band; the rest of that group is searched whole.
+FIRST = 2
 #: Shingles whose values are made at once.
 BLOCK = 256
 #: Up to so many wanted keys go to every executor, so that the texts need not travel.
@@ -251,7 +255,8 @@ class Links:
 
     def rest(self) -> None:
         """Sets of bands that still hold several groups. One at least of two such sets is not of the band's largest group."""
-        rows = self.rooted(self.bands.select("s", "fp"), self.roots(), "fp", "root")
+        rows_roots = materialize(self.roots(), "roots")
+        rows = self.rooted(self.bands.select("s", "fp"), rows_roots, "fp", "root")
         mixed_bands = rows.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("all")).where("low <> high")
         rows = materialize(rows.join(mixed_bands.select("s", "all"), "s"), "mixed-bands")
         sizes = rows.groupBy("s", "root").agg(F.count(F.lit(1)).alias("size"))
@@ -261,34 +266,82 @@ class Links:
         near = few.where(F.col("all") <= SHORT).select("s", F.col("fp").alias("b"), F.col("root").alias("other"))
         short = rows.where(F.col("all") <= SHORT).join(near, "s").where("root <> other")
         short = short.select(F.greatest("fp", "b").alias("a"), F.least("fp", "b").alias("b"))
-        self.add(short.unionByName(self.cells(rows.where(F.col("all") > SHORT), few.where(F.col("all") > SHORT))).distinct())
+        long = materialize(self.cells(rows.where(F.col("all") > SHORT), few.where(F.col("all") > SHORT)), "cells")
+        self.add(short.unionByName(long.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).distinct())
+        before = self.rooted(self.bands.select("fp").distinct(), rows_roots, "fp", "root")
+        crowded = long.where("more").select(F.col("x").alias("fp"), "root").distinct()
+        tree = self.roots()
+        crowded = self.rooted(self.rooted(crowded, tree, "fp", "own"), tree, "root", "other").where("own <> other").select("fp", "root")
+        self.found = materialize(self.found.unionByName(self.searched(materialize(crowded, "crowded"), before)), "near-links")
+
+    def searched(self, crowded: DataFrame, members: DataFrame) -> DataFrame:
+        """One link (a, b) of each set ``fp`` to a member of the group ``root``, if there is any: whole sets of both in cells of bounded size."""
+        sizes = crowded.groupBy("root").agg(F.count(F.lit(1)).alias("few"))
+        sizes = members.join(sizes, "root").groupBy("root", "few").agg(F.count(F.lit(1)).alias("all"))
+        dealt = self.dealt(crowded.join(sizes, "root"), members.join(sizes, "root"), ["root"], WHOLE_CELL)
+        used = self.prints.join(dealt.select("fp").distinct(), "fp", "left_semi")
+        sets = self.whole(used.select(F.col("key").alias("wanted_key"), "fp")).dropDuplicates(["fp"])
+        least, most = self.least, self.most
 
-    def cells(self, rows: DataFrame, few: DataFrame) -> DataFrame:
-        """Pairs of long bands that their packed bits let pass: both sides are dealt by hash into cells of bounded size."""
-        width, height = F.ceil(F.col("all") / CELL).cast("int"), F.ceil(F.col("few") / CELL).cast("int")
-        columns = ["s", "i", "j", "side", "fp", "root", "n", *PLANES]
-        bits = self.prints.select("fp", "n", *PLANES)
+        def confirm(frame: pd.DataFrame) -> pd.DataFrame:
+            own, out = Cell(frame, least, most), []
+            sets = [np.sort(h) for h in frame["hashes"]]
+            for at, able, apart in own.likely(np.zeros(len(frame), np.int64), True):
+                for other in able[np.argsort(apart, kind="stable")]:
+                    x, y = sets[at], sets[other]
+                    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                    if both * 100 >= (len(x) + len(y) - both) * least:
+                        out.append((own.names[at], own.names[other]))
+                        break
+            return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+        return dealt.join(self.prints.select("fp", "n", *PLANES), "fp").join(sets, "fp").groupBy("root", "i", "j").applyInPandas(confirm, "a bigint, b bigint")
+
+    def dealt(self, few: DataFrame, rows: DataFrame, keys: list[str], cell: int) -> DataFrame:
+        """Both sides dealt by hash into cells (i, j): each of ``few`` (side 0) meets each of ``rows`` (side 1) in one."""
+        width, height = F.ceil(F.col("all") / cell).cast("int"), F.ceil(F.col("few") / cell).cast("int")
         drawn = lambda seed, parts: F.pmod(F.xxhash64(F.lit(seed), "fp"), parts).cast("int")
         every = lambda parts: F.explode(F.sequence(F.lit(0), parts - 1))
+        names = [*keys, "i", "j", "side", "fp", *(["root"] if "root" not in keys else [])]
         left = few.withColumn("i", drawn(1, height)).withColumn("j", every(width)).withColumn("side", F.lit(0))
         right = rows.withColumn("j", drawn(2, width)).withColumn("i", every(height)).withColumn("side", F.lit(1))
-        dealt = left.join(bits, "fp").select(*columns).unionByName(right.join(bits, "fp").select(*columns))
+        return left.select(*names).unionByName(right.select(*names))
+
+    def cells(self, rows: DataFrame, few: DataFrame) -> DataFrame:
+        """Sets of long bands compared by their packed bits: (x, root, y, more) with the ``FIRST`` likeliest of another group for each set, and whether there are more."""
         least, most = self.least, self.most
 
         def compare(frame: pd.DataFrame) -> pd.DataFrame:
-            words = frame[PLANES].to_numpy(np.int64).reshape(len(frame), KEPT, WORDS)
-            names, groups, n, side = (frame[c].to_numpy() for c in ("fp", "root", "n", "side"))
-            there = np.flatnonzero(side == 1)
-            a, b = [], []
-            for at in np.flatnonzero(side == 0):
-                able = there[(groups[there] != groups[at]) & (np.minimum(n[there], n[at]) * 100 >= np.maximum(n[there], n[at]) * least)]
-                apart = np.bitwise_or.reduce(words[able] ^ words[at], axis=1)
-                hit = able[np.bitwise_count(apart).sum(axis=1) <= most]
-                a += np.maximum(names[hit], names[at]).tolist()
-                b += np.minimum(names[hit], names[at]).tolist()
-            return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-        return dealt.groupBy("s", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+            own, out = Cell(frame, least, most), []
+            groups = frame["root"].to_numpy()
+            for at, able, apart in own.likely(groups, False):
+                able = able[np.lexsort((apart, groups[able]))]
+                # Runs of one group, the likeliest first.
+                edges = np.flatnonzero(np.diff(groups[able])) + 1
+                for low, high in pairwise([0, *edges.tolist(), len(able)]):
+                    out += [(own.names[at], groups[y], own.names[y], bool(high - low > FIRST)) for y in able[low : min(high, low + FIRST)]]
+            return pd.DataFrame(out, columns=["x", "root", "y", "more"]).astype({"x": "int64", "root": "int64", "y": "int64", "more": bool})
+
+        bits = self.prints.select("fp", "n", *PLANES)
+        return self.dealt(few, rows, ["s"], CELL).join(bits, "fp").groupBy("s", "i", "j").applyInPandas(compare, "x bigint, root bigint, y bigint, more boolean")
+
+
+class Cell:
+    """The rows of a cell, their packed bits in one array."""
+
+    def __init__(self, frame: pd.DataFrame, least: int, most: int):
+        self.words = frame[PLANES].to_numpy(np.int64).view(np.uint64).reshape(len(frame), KEPT, WORDS)
+        self.names, self.n, self.side = (frame[c].to_numpy() for c in ("fp", "n", "side"))
+        self.least, self.most = least, most
+
+    def likely(self, groups: np.ndarray, alike: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each row of side 0: the rows of side 1 of another group (``alike``: of the same) that sizes and bits let pass, and their differing minima."""
+        there = np.flatnonzero(self.side == 1)
+        for at in np.flatnonzero(self.side == 0):
+            able = there[(groups[there] == groups[at]) == alike]
+            able = able[np.minimum(self.n[able], self.n[at]) * 100 >= np.maximum(self.n[able], self.n[at]) * self.least]
+            apart = np.bitwise_count(np.bitwise_or.reduce(self.words[able] ^ self.words[at], axis=1)).sum(axis=1)
+            yield int(at), able[apart <= self.most], apart[apart <= self.most]
 
 
 def near_sets(docs: DataFrame, key: str, text: str, width: int = WIDTH, least: int = LEAST) -> tuple[DataFrame, DataFrame]:

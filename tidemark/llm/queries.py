@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, imatch, language, minhash, mixing, neighbours, quality, repair, sharding, simhash, token_store, toxicity
+from tidemark.llm import bpe, imatch, language, minhash, mixing, negatives, neighbours, quality, repair, sharding, simhash, token_store, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_store": lambda spark, folder: token_store.stored(table(spark, folder, "documents")),
     "op10_pareto_mix": lambda spark, folder: mixing.taken(table(spark, folder, "documents")),
     "op11_conversation_repair": lambda spark, folder: repair.mended(table(spark, folder, "conversations")),
+    "op12_hard_negatives": lambda spark, folder: negatives.mined(table(spark, folder, "embeddings")),
     "op13_bbit_minhash": lambda spark, folder: minhash.grouped(table(spark, folder, "documents")),
 }
 
@@ -28,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op6_imatch_fingerprints": imatch.ORACLE,
     "op10_pareto_mix": mixing.ORACLE,
     "op11_conversation_repair": repair.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
 }

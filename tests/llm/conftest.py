@@ -30,8 +30,8 @@ def awkward(spark):
         (11, "12 34 !! ??", "de", "d"),
         (-5, prose(25), "en", "d"),
     ]
-    rows = [(*r, len(r[1]) if r[1] else None, 0.5, 1, "h", -1, "x", 9, "k") for r in rows]
-    extra = ", score double, size int, _text string, shard int, ids string, copies int, key string"
+    rows = [(*r, len(r[1]) if r[1] else None, 0.5, 1, "h", -1, "x", 9, "k", 3, 4) for r in rows]
+    extra = ", score double, size int, _text string, shard int, ids string, copies int, key string, _mix_doc_id int, _mix_id int"
     return spark.createDataFrame(rows, DOC + extra)
 
 

@@ -133,6 +133,16 @@ class TestNeighbours:
         got = neighbours.found(table_).collect()
         assert len(got) == len(want) and len(want & {(r["query_id"], r["vec_id"]) for r in got}) / len(want) >= 0.9
 
+    @pytest.mark.parametrize("few", [4096, 50])
+    def test_lengths_apart(self, spark, monkeypatch, few):
+        """Each length is searched by itself, with curves or without."""
+        monkeypatch.setattr(neighbours, "FEW", few)
+        generator = np.random.default_rng(2)
+        by_length = [[(start + i, generator.normal(size=size).tolist()) for i in range(count)] for start, size, count in ((0, 5, 130), (200, 3, 110), (400, 2, 3))]
+        frame = spark.createDataFrame([r for rows in by_length for r in rows], "vec_id bigint, embedding array<double>")
+        got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(frame, recall=1.0).collect())
+        assert got == sorted(r for rows in by_length for r in self.plain(rows))
+
     def test_awkward_vectors(self, spark):
         generator = np.random.default_rng(1)
         good = [(i, generator.normal(size=6).tolist()) for i in range(0, 120)]

@@ -67,6 +67,10 @@ class TestTokenStore:
             texts = ["".join(generator.choice(pool) for _ in range(generator.randint(0, 40))) for _ in range(3)]
             for text, ids in zip(texts, own.encode(texts), strict=True):
                 assert np.frombuffer(ids, "<u2").tolist() == own.library.encode(text, add_special_tokens=False).ids
+        untouched = Tokenizer.from_file(token_store.TOKENIZER)
+        texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "a <|endoftext |> b"]
+        for text, ids in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u2").tolist() == untouched.encode(text, add_special_tokens=False).ids
 
     @pytest.mark.parametrize("count", [0, 1, 2, 7, 3000])
     def test_perfect_hash(self, count):
@@ -76,7 +80,6 @@ class TestTokenStore:
 
     def test_store(self, spark, awkward, empty, tmp_path):
         library = Tokenizer.from_file(token_store.TOKENIZER)
-        library.encode_special_tokens = True
         ordered = sorted(awkward.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or ""))
         want, start = [], 0
         for r in ordered:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import positions
+from tidemark.operators.ranking import fresh, positions
 from tidemark.session import materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -140,17 +140,21 @@ def plan(docs: DataFrame, share: float = SHARE, weights: tuple[float, ...] = WEI
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row repeated as often as the plan takes it; rows taken no time go. Columns stay."""
-    chosen = plan(docs, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies")
-    )
+    """``docs`` with every row repeated as often as the plan takes it; rows taken no time go. Columns stay, whatever their names.
+
+    Null and empty texts and null sources count as in :func:`plan`; rows that
+    repeat id, source and size are taken alike; an empty table stays empty.
+    """
+    names = {n: fresh(docs, f"_mix_{n}") for n in ("doc_id", "source", "size", "copies")}
+    chosen = plan(docs, **options).where("copies > 0").select(*(F.col(n).alias(to) for n, to in names.items()))
     words = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("bigint")
-    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_source")) & (words == F.col("_mix_size"))
-    return docs.join(chosen, same).withColumn("_mix_copies", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
+    same = F.col("doc_id").eqNullSafe(F.col(names["doc_id"])) & F.col("source").eqNullSafe(F.col(names["source"])) & (words == F.col(names["size"]))
+    copies = names["copies"]
+    return docs.join(chosen, same).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def taken(docs: DataFrame) -> DataFrame:
-    """Per document of the mix: its size, its source's size and target, and the words taken of it."""
+    """Per document of the mix: its size, its source's size and target, and the words taken of it. Cases as in :func:`plan`."""
     planned = plan(docs).withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 

@@ -36,6 +36,8 @@ RECALL = 0.95
 SAMPLE_QUERIES = 128
 #: Numbers that the directions are learned from, at most about.
 SAMPLE_NUMBERS = 2_000_000
+#: Lengths with up to so many distinct vectors are searched without curves, one task each.
+FEW = 4096
 #: Candidates that are compared in one task at a time.
 BLOCK = 4096
 SEED = 11
@@ -71,7 +73,7 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def packed(vectors: DataFrame, key: str, vector: str, nearest: int, every: int) -> DataFrame:
-    """Distinct vectors as points: (h, g, rep, members, asks, point).
+    """Distinct vectors as points: (h, g, rep, members, asks, size, point).
 
     ``h`` and ``g`` are two hashes of the vector. ``members`` are the ``nearest + 1`` smallest ids of the vector, ``rep`` the
     smallest, ``asks`` whether any id is divisible by ``every``, ``point`` the packed numbers.
@@ -86,14 +88,12 @@ def packed(vectors: DataFrame, key: str, vector: str, nearest: int, every: int)
     rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & v.isNotNull())
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.coalesce(finite & F.exists(v, lambda x: x != 0), F.lit(False)))
-    sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.col("count").desc(), "size").first()
-    rows = rows.where(F.size("v") == (sizes["size"] if sizes else -1))
     rows = rows.withColumns({"h": F.xxhash64(F.lit(0), "v"), "g": F.xxhash64(F.lit(1), "v")})
     asks = rows.groupBy("h", "g").agg(F.bool_or(F.col("id") % every == 0).alias("asks"))
     order = Window.partitionBy("h", "g").orderBy("id")
     least = rows.withColumn("at", F.dense_rank().over(order)).where(F.col("at") <= nearest + 1)
     least = least.groupBy("h", "g").agg(F.array_sort(F.collect_set("id")).alias("members"), F.any_value("v").alias("v"))
-    points = least.join(asks, ["h", "g"]).select("h", "g", F.col("members")[0].alias("rep"), "members", "asks", pack("v").alias("point"))
+    points = least.join(asks, ["h", "g"]).select("h", "g", F.col("members")[0].alias("rep"), "members", "asks", F.size("v").alias("size"), pack("v").alias("point"))
     return materialize(points, "points")
 
 
@@ -160,7 +160,17 @@ def window(points: DataFrame, curve: DataFrame, asking: int, nearest: int, recal
     return max(nearest, apart[min(len(apart) - 1, int(np.ceil(recall * len(apart))) - 1)])
 
 
-SCHEMA = "query_id bigint, rank int, vec_id bigint, score double"
+def compared_whole(points: DataFrame, nearest: int) -> DataFrame:
+    """(asker, near, score) of points of lengths that few have, all against all of their length."""
+
+    def of(frame: pd.DataFrame) -> pd.DataFrame:
+        x, reps, out = matrix(frame["point"]), frame["rep"].to_numpy(), []
+        for at in np.flatnonzero(frame["asks"].to_numpy()):
+            far = np.sqrt(((x - x[at]) ** 2).sum(axis=1))
+            out += [(int(reps[at]), int(reps[k]), float(far[k])) for k in np.lexsort((reps, far))[: nearest + 1]]
+        return pd.DataFrame(out, columns=["asker", "near", "score"])
+
+    return points.groupBy("size").applyInPandas(of, "asker bigint, near bigint, score double")
 
 
 def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", nearest: int = NEAREST, every: int = EVERY, recall: float = RECALL, curves: int = CURVES) -> DataFrame:
@@ -168,15 +178,36 @@ def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", n
 
     Score is the Euclidean distance in double precision; ties go to the smaller
     id. Rows with a null id, and vectors that are null, empty, all zero or hold a
-    null, infinite or undefined number take no part, nor do vectors of another
-    length than the commonest (ties: the shorter). Rows that repeat an id are
+    null, infinite or undefined number take no part. Vectors of different lengths
+    never meet: every length is searched by itself. Rows that repeat an id are
     never neighbours of that id. No queries or no vectors give no rows. Other columns are not read.
     """
-    spark = vectors.sparkSession
     points = packed(vectors, key, vector, nearest, every)
-    count, asking = points.agg(F.count(F.lit(1)), F.count_if(F.col("asks"))).first()
-    if not asking:
-        return spark.createDataFrame([], SCHEMA)
+    lengths = points.groupBy("size").agg(F.count(F.lit(1)).alias("count"), F.count_if(F.col("asks")).alias("asking")).where("asking > 0")
+    few = points.join(lengths.where(F.col("count") <= FEW).select("size"), "size", "left_semi")
+    met = compared_whole(few, nearest)
+    for length, count, asking in lengths.where(F.col("count") > FEW).orderBy("size").collect():  # each stands for more than FEW vectors
+        met = met.unionByName(along_curves(points.where(F.col("size") == length), count, asking, nearest, recall, curves))
+    order = Window.partitionBy("asker").orderBy("score", "near")
+    best = met.withColumn("at", F.row_number().over(order)).where(F.col("at") <= nearest + 1).drop("at")
+    # Points back to ids: the asking ones to all their queries, the near ones to their smallest members.
+    best = best.join(points.select(F.col("rep").alias("near"), "members"), "near").select("asker", "score", F.explode("members").alias("vec_id"))
+    asked = vectors.select(F.col(key).cast("bigint").alias("query_id"), F.col(vector).alias("v")).where(F.col("query_id") % every == 0)
+    hashes = asked.select("query_id", F.xxhash64(F.lit(0), "v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")).distinct()
+    asked = hashes.join(points.where("asks").select("h", "g", F.col("rep").alias("asker")), ["h", "g"]).select("query_id", "asker").distinct()
+    found = asked.join(best, "asker").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def found(vectors: DataFrame) -> DataFrame:
+    """The ten nearest of every hundredth vector of ``embeddings``."""
+    return search(vectors)
+
+
+def along_curves(points: DataFrame, count: int, asking: int, nearest: int, recall: float, curves: int) -> DataFrame:
+    """(asker, near, score) of points of one length: the nearest within the window on any of the curves."""
     turns = directions(points, count, curves, DIRECTIONS)
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,20 +246,4 @@ def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", n
                     out += [(int(name), int(reps[low + k]), float(far[k])) for k in some]
         return pd.DataFrame(out, columns=["asker", "near", "score"])
 
-    met = stands.unionByName(asks).groupBy("block").applyInPandas(compare, "asker bigint, near bigint, score double").distinct()
-    order = Window.partitionBy("asker").orderBy("score", "near")
-    best = met.withColumn("at", F.row_number().over(order)).where(F.col("at") <= nearest + 1).drop("at")
-    # Points back to ids: the asking ones to all their queries, the near ones to their smallest members.
-    best = best.join(points.select(F.col("rep").alias("near"), "members"), "near").select("asker", "score", F.explode("members").alias("vec_id"))
-    asked = vectors.select(F.col(key).cast("bigint").alias("query_id"), F.col(vector).alias("v")).where(F.col("query_id") % every == 0)
-    hashes = asked.select("query_id", F.xxhash64(F.lit(0), "v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")).distinct()
-    asked = hashes.join(points.where("asks").select("h", "g", F.col("rep").alias("asker")), ["h", "g"]).select("query_id", "asker").distinct()
-    found = asked.join(best, "asker").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
-    return found.select("query_id", "rank", "vec_id", "score")
-
-
-def found(vectors: DataFrame) -> DataFrame:
-    """The ten nearest of every hundredth vector of ``embeddings``."""
-    return search(vectors)
+    return stands.unionByName(asks).groupBy("block").applyInPandas(compare, "asker bigint, near bigint, score double").distinct()

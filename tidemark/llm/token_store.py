@@ -62,12 +62,14 @@ class Encoder:
     Texts are cut where no match of the byte-level pattern can cross: before a
     blank that follows anything but white space, around a single line end between
     such characters, and after a word's last letter. Pieces are then encoded
-    alike alone and in the text. A text with other white space goes to the library whole.
+    alike alone and in the text. A text with other white space, or with the string
+    of an added token, goes to the library whole.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        # A text with the string of an added token goes to the library whole, which knows what becomes of it.
+        self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
         (self.line_end,) = self.library.encode("\n", add_special_tokens=False).ids
@@ -122,7 +124,7 @@ class Encoder:
         for text in texts:
             first, *rest = text.split(" ")
             found = list(map(get, rest))
-            unsafe = first != "" and first[-1].isspace()
+            unsafe = (first != "" and first[-1].isspace()) or any(t in text for t in self.added)
             places = []
             for at in [i for i, ids in enumerate(found) if ids is None]:
                 piece = rest[at]

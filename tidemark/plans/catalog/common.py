@@ -84,18 +84,17 @@ def near_sql(name: str, queries: str, reference: str, k: int, extra: str = "") -
   from {queries} q cross join {reference} r {extra}) where rank <= {k})"""
 
 
-# A request list that grows with the data: every unit, some of them twice, plus strangers.
+# A request list that grows with the data: every unit, some of them again, and strangers beside them.
 REQUESTS = """
-requests as (select k as ord, case when k % 10 = 7 then concat('ZZ', cast(k as varchar(10)), ' 9ZZ') else postcode end as postcode
-  from unit
-  union all select k + 1000000000 as ord, postcode from unit where k % 9 = 0)"""
+requests as (select k as ord, postcode from unit
+  union all select k + 1000000000 as ord, postcode from unit where k % 9 = 0
+  union all select k + 2000000000 as ord, concat('ZZ', cast(k as varchar(10)), ' 9ZZ') as postcode from unit where k % 10 = 7)"""
 
 
 def requests(v: Views) -> DataFrame:
     unit = v.unit.select("k", "postcode")
-    strange = F.when(F.col("k") % 10 == 7, F.concat(F.lit("ZZ"), F.col("k").cast("string"), F.lit(" 9ZZ")))
-    first = unit.select(
-        F.col("k").alias("ord"), F.coalesce(strange, F.col("postcode")).alias("postcode")
-    )
-    again = unit.where("k % 9 = 0").select((F.col("k") + 1000000000).alias("ord"), "postcode")
-    return first.unionByName(again)
+    later = lambda more: (F.col("k") + F.lit(more)).alias("ord")
+    again = unit.where("k % 9 = 0").select(later(1_000_000_000), "postcode")
+    strange = F.concat(F.lit("ZZ"), F.col("k").cast("string"), F.lit(" 9ZZ")).alias("postcode")
+    strangers = unit.where("k % 10 = 7").select(later(2_000_000_000), strange)
+    return unit.withColumnRenamed("k", "ord").unionByName(again).unionByName(strangers)

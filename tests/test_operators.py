@@ -170,11 +170,8 @@ def test_distributions_on_a_lattice(spark):
     assert shares == [0.4, 0.2, 0.0, 0.2]
 
 
-def test_nearest_in_a_crowded_smallest_cell(spark, monkeypatch):
+def test_nearest_in_a_crowded_smallest_cell(spark):
     """A third of the points within a millionth of the extent."""
-    from tidemark.operators import knn
-
-    monkeypatch.setattr(knn, "EXTRA_LEVELS", 1)
     reference = np.concatenate([RNG.integers(0, 10_000_000, (700, 2)), RNG.integers(5_000, 5_040, (700, 2))]).astype(float)
     queries = np.concatenate([RNG.integers(0, 10_000_000, (20, 2)), RNG.integers(4_990, 5_050, (20, 2))]).astype(float)
     got = nearest(frame(spark, queries, "qid"), frame(spark, reference, "id"), 3, "qid", "id")

@@ -1,12 +1,18 @@
 """Exact k-nearest join on plane coordinates.
 
-The reference points are summarised in a written table of grid cells: a cell
-with more than ``LEAF_ROWS`` points has children of a quarter its side, so the
-cells follow the density of the points. Every query walks down from the top
-cell. At each level it keeps the cells that can still hold one of its ``k``
-nearest points: the counts and bounding boxes of the kept cells give a radius
-that surely holds ``k`` points, and a cell farther away than that is dropped.
-What is left are a few leaf cells per query, whose points are compared.
+The reference points get one Morton code each, the interleaved bits of their two
+cell numbers, and are sorted by it once. A cell of any size is then a prefix of
+the code and a run of the sorted points; it holds more than ``LEAF_ROWS`` points
+exactly if two points that many places apart share its prefix. So the leaf of a
+point (the largest cell around it that is not crowded) follows from the codes a
+few places away, and every point has one leaf. The leaves and the cells above
+them, with their counts and bounding boxes, are a written table.
+
+Every query walks down from the top cell. At each level it keeps the cells that
+can still hold one of its ``k`` nearest points: the counts and bounding boxes of
+the kept cells give a radius that surely holds ``k`` points, and a cell farther
+away than that is dropped. What is left are a few leaf cells per query, whose
+points are compared.
 
 Work per query grows with the depth of the cells (logarithm of the table), not
 with the size of a dense neighbourhood. Copies of one coordinate beyond the
@@ -15,103 +21,93 @@ first ``k`` by tie order can never be an answer and are dropped beforehand.
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import keep_priority
+from tidemark.operators.ranking import keep_priority, positions
 from tidemark.session import materialize
 
 LEAF_ROWS = 32
-EXTRA_LEVELS = 5
-MAX_LEVELS = 12
-CROWDED = 16
+#: Levels of cells; each has sixteen children on the level below, so a level is four bits of the code.
+LEVELS = 12
+#: Sorted points that one task looks over at a time.
+STRETCH = 8192
+# The masks that spread 24 bits over the even bits of 48.
+SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
 
 
-def _node(level: Column, cx: Column, cy: Column) -> Column:
-    """Cell id: level and two cell numbers packed in one integer."""
-    return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(F.shiftleft(cx, 28)).bitwiseOR(cy)
+def _morton(x: Column, y: Column) -> Column:
+    """Interleaved bits of two cell numbers below ``4 ** LEVELS``."""
+    spread = lambda v: reduce(lambda n, step: F.shiftleft(n, step[0]).bitwiseOR(n).bitwiseAND(F.lit(step[1])), SPREAD, v)
+    return F.shiftleft(spread(y), 1).bitwiseOR(spread(x))
 
 
-@dataclass(frozen=True)
-class Grid:
-    """Nested cells: level 0 has side ``unit``, each level up four times that."""
+def _node(level: Column, prefix: Column) -> Column:
+    """Cell id: level and code prefix in one integer."""
+    return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(prefix)
 
-    levels: int
-    x0: float
-    y0: float
-    unit: float
 
-
-def _cell_frame(points: DataFrame, grid: Grid, low: int = 0, high: int | None = None) -> DataFrame:
-    """Each point once per level, with the id of its cell and of the parent cell."""
-    top = 4**grid.levels - 1
-    wanted = list(range(low, (grid.levels if high is None else high) + 1))
+def _coded(points: DataFrame, box) -> DataFrame:
+    """Points with their code, and their place in the order of the codes."""
+    side = max(box["high_x"] - box["low_x"], box["high_y"] - box["low_y"]) or 1.0
+    top = 4**LEVELS - 1
 
     def index(name: str, origin: float) -> Column:
-        return F.least(F.floor((F.col(name) - F.lit(origin)) / F.lit(grid.unit)), F.lit(top).cast("bigint"))
+        return F.least(F.floor((F.col(name) - F.lit(origin)) / F.lit(side / 4**LEVELS)), F.lit(top).cast("bigint"))
 
-    df = points.withColumns({"_ix": index("_x", grid.x0), "_iy": index("_y", grid.y0)})
-    df = df.withColumn("_level", F.explode(F.lit(wanted)))
+    return positions(points.withColumn("_code", _morton(index("_x", box["low_x"]), index("_y", box["low_y"]))), [F.col("_code")], "_place")
 
-    def at(level: Column) -> Column:
-        return _node(level, F.expr("shiftright(_ix, 2 * _level)"), F.expr("shiftright(_iy, 2 * _level)"))
 
-    parent = _node(
-        F.col("_level") + 1,
-        F.expr("shiftright(_ix, 2 * (_level + 1))"),
-        F.expr("shiftright(_iy, 2 * (_level + 1))"),
-    )
-    return df.withColumns({"_node": at(F.col("_level")), "_parent": parent}).drop("_ix", "_iy")
+def _with_leaves(coded: DataFrame, leaf_rows: int) -> DataFrame:
+    """Points with the id of their leaf (``_node``) and its level.
 
-
-def _build_cells(points: DataFrame, grid: Grid, leaf_rows: int) -> DataFrame:
-    """The written table of cells that queries walk down."""
-    cells = (
-        _cell_frame(points, grid)
-        .groupBy("_level", "_node", "_parent")
-        .agg(
-            F.count("*").alias("_n"),
-            F.min("_x").alias("_x0"),
-            F.max("_x").alias("_x1"),
-            F.min("_y").alias("_y0"),
-            F.max("_y").alias("_y1"),
-        )
-    )
-    split = cells.where((F.col("_level") > 0) & (F.col("_n") > leaf_rows))
-    opened = split.select(F.col("_node").alias("_parent"))
-    kept = cells.join(opened, "_parent", "left_semi").unionByName(cells.where(F.col("_level") == grid.levels))
-    leaf = (F.col("_level") == 0) | (F.col("_n") <= leaf_rows)
-    return materialize(kept.withColumn("_leaf", leaf), "tree", "_level")
+    Each stretch of the sorted points also gets the ``leaf_rows`` points before
+    and after it, so the windows are bounded and see all they need.
+    """
+    stretch = max(STRETCH, leaf_rows)
+    block, inside = F.floor(F.col("_place") / stretch).cast("bigint"), F.col("_place") % stretch
+    own = coded.withColumns({"_block": block, "_own": F.lit(True)})
+    # Neighbours only lend their codes.
+    lent = [c if c in ("_code", "_place") else F.lit(None).cast(dict(coded.dtypes)[c]).alias(c) for c in coded.columns]
+    after = coded.where((block > 0) & (inside < leaf_rows)).select(*lent, (block - 1).alias("_block"), F.lit(False).alias("_own"))
+    before = coded.where(inside >= stretch - leaf_rows).select(*lent, (block + 1).alias("_block"), F.lit(False).alias("_own"))
+    near = Window.partitionBy("_block").orderBy("_place")
+    apart = F.col("_code").bitwiseXOR(F.lead("_code", leaf_rows).over(near))
+    # The lowest level on which the point and the one ``leaf_rows`` places on are in one cell, which is crowded.
+    crowded = reduce(Column.__add__, (F.when(F.shiftright(apart, 4 * i) > 0, 1).otherwise(0) for i in range(LEVELS)))
+    rows = own.unionByName(after).unionByName(before).withColumn("_crowded", F.when(apart.isNotNull(), crowded))
+    lowest = F.min("_crowded").over(near.rowsBetween(-leaf_rows, 0))
+    level = F.greatest(F.coalesce(lowest - 1, F.lit(LEVELS)), F.lit(0))
+    rows = rows.withColumn("_level", level).where("_own")
+    prefix = F.expr("shiftright(_code, cast(4 * _level as int))")
+    return rows.withColumn("_node", _node(F.col("_level"), prefix)).drop("_block", "_own", "_crowded", "_place")
 
 
 CELL = ("_node", "_n", "_x0", "_x1", "_y0", "_y1")
 
 
 def _index(points: DataFrame, box, leaf_rows: int):
-    """Grid, cell table, and facts: lowest and highest leaf level, top cells.
+    """Points with their leaves, the cell table, and facts: lowest leaf level and the cells below the top.
 
-    The depth follows the number of points. Where a smallest cell is still
-    crowded, the cells are built again at full depth. The top cell has at most
+    Only leaves are copied to the levels above them. The top cell has at most
     16 children, which come back with the facts.
     """
-    side = max(box["high_x"] - box["low_x"], box["high_y"] - box["low_y"]) or 1.0
-    usual = math.ceil(math.log(box["n"] / leaf_rows, 16)) + EXTRA_LEVELS
-    for levels in sorted({min(usual, MAX_LEVELS), MAX_LEVELS}):
-        grid = Grid(levels, box["low_x"], box["low_y"], side / 4**levels)
-        tree = _build_cells(points, grid, leaf_rows)
-        leaf = F.col("_leaf")
-        facts = tree.agg(
-            F.min(F.when(leaf, F.col("_level"))).alias("low"),
-            F.max(F.when(leaf, F.col("_level"))).alias("high"),
-            F.max(F.when(leaf, F.col("_n"))).alias("crowd"),
-            F.collect_list(F.when(F.col("_level") == levels - 1, F.struct(*CELL))).alias("top"),
-        ).first()
-        if facts["crowd"] <= CROWDED * leaf_rows:
-            break
-    return grid, tree, facts
+    placed = materialize(_with_leaves(_coded(points, box), leaf_rows), "leaves")
+    ends = [fn(axis).alias(out) for axis, low, high in (("_x", "_x0", "_x1"), ("_y", "_y0", "_y1")) for fn, out in ((F.min, low), (F.max, high))]
+    leaves = placed.groupBy("_level", "_node").agg(F.count("*").alias("_n"), F.any_value("_code").alias("_code"), *ends)
+    spans = leaves.withColumn("_leaf_level", F.col("_level")).withColumn("_level", F.explode(F.sequence(F.col("_level"), F.lit(LEVELS))))
+    cell, above = (F.expr(f"shiftright(_code, cast(4 * (_level + {i}) as int))") for i in (0, 1))
+    spans = spans.withColumns({"_node": _node(F.col("_level"), cell), "_parent": _node(F.col("_level") + 1, above)})
+    ends = [fn(c).alias(c) for c, fn in (("_x0", F.min), ("_x1", F.max), ("_y0", F.min), ("_y1", F.max))]
+    cells = spans.groupBy("_level", "_node", "_parent").agg(F.sum("_n").alias("_n"), *ends, F.bool_or(F.col("_level") == F.col("_leaf_level")).alias("_leaf"))
+    tree = materialize(cells, "tree", "_level")
+    facts = tree.agg(
+        F.min(F.when(F.col("_leaf"), F.col("_level"))).alias("low"),
+        F.collect_list(F.when(F.col("_level") == LEVELS - 1, F.struct(*CELL))).alias("top"),
+    ).first()
+    return placed, tree, facts
 
 
 def _gap(q: Column, low: Column, high: Column) -> Column:
@@ -161,18 +157,13 @@ def nearest(
         # At most ``leaf_rows`` reference rows in all: one leaf.
         pairs = asked.join(F.broadcast(points))
     else:
-        grid, tree, facts = _index(points, box, leaf_rows)
+        placed, tree, facts = _index(points, box, leaf_rows)
         # Few input bytes become many pairs: fix the number of tasks, or the
         # planner would merge them by input size.
         spark = queries.sparkSession
         tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        leaves = _walk(asked.repartition(tasks, query_id), tree, grid.levels, facts, k, query_id)
-        tagged = (
-            _cell_frame(points, grid, facts["low"], facts["high"])
-            .join(tree.where("_leaf").select("_node"), "_node", "left_semi")
-            .drop("_level", "_parent")
-        )
-        pairs = leaves.join(tagged, "_node").where(d2 <= F.col("_radius")).drop("_node", "_radius")
+        leaves = _walk(asked.repartition(tasks, query_id), tree, facts, k, query_id)
+        pairs = leaves.join(placed.drop("_code", "_level"), "_node").where(d2 <= F.col("_radius")).drop("_node", "_radius")
     return (
         pairs.withColumn("d2", d2)
         .withColumn("rank", F.row_number().over(ranked))
@@ -181,7 +172,7 @@ def nearest(
     )
 
 
-def _walk(asked: DataFrame, tree: DataFrame, levels: int, facts, k: int, query_id: str) -> DataFrame:
+def _walk(asked: DataFrame, tree: DataFrame, facts, k: int, query_id: str) -> DataFrame:
     """Leaf cells that can hold one of the k nearest points, per query."""
     cell = [F.col(name) for name in CELL[1:]]
 
@@ -201,10 +192,10 @@ def _walk(asked: DataFrame, tree: DataFrame, levels: int, facts, k: int, query_i
     mine = Window.partitionBy(query_id)
     growing = mine.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0)
     enough = F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(mine)
-    for step in range(levels - facts["low"]):
+    for step in range(LEVELS - facts["low"]):
         if step:
             # The upper levels are a few rows each, which the planner sees and sends to every task.
-            front = front.join(steps(levels - step), F.col("_node") == F.col("_at"))
+            front = front.join(steps(LEVELS - step), F.col("_node") == F.col("_at"))
         front = (
             front.select(
                 query_id, "_qx", "_qy", "_radius", "_n", F.col("_next").alias("_node"), near.alias("_near"), far.alias("_far")

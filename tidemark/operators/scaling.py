@@ -64,14 +64,6 @@ def one_hot(df: DataFrame, col: str, categories: Sequence[str], prefix: str | No
     return df.withColumns({f"{prefix}{v}": F.when(F.col(col) == v, 1).otherwise(0) for v in sorted(categories)})
 
 
-def known_categories(df: DataFrame, col: str, limit: int = 100_000) -> list[str]:
-    """Sorted distinct values; refuses a column with more than ``limit`` of them."""
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} categories")
-    return sorted(row[0] for row in rows)
-
-
 def label_codes(df: DataFrame, col: str, out: str) -> DataFrame:
     """Attach the place of each label in sorted order."""
     return df.join(category_codes(df, col, out), col, "left")

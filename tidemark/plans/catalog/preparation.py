@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quantiles import modes
 from tidemark.operators.ranking import hash_split, stratified_folds
-from tidemark.operators.scaling import known_categories, label_codes, min_max, one_hot, robust, standardise
+from tidemark.operators.scaling import label_codes, min_max, one_hot, robust, standardise
 from tidemark.plans.catalog import query
 from tidemark.plans.catalog.common import mode_sql, rounded
+from tidemark.plans.dictionary import hot_places, one_hot_vectors
 from tidemark.plans.features import feature_stages
 from tidemark.sources.views import Views
 
@@ -59,7 +60,19 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 )
 def pre4(v: Views):
     table = v.unit.select("k", "soilType")
-    return one_hot(table, "soilType", known_categories(table, "soilType"), "soil_").drop("soilType")
+    return one_hot(table, "soilType", SEGMENTS, "soil_").drop("soilType")
+
+
+@query(
+    "pre4_one_hot_vectors",
+    """select u.k, c.n as size, coalesce(c.code, -1) as place from unit u left join (
+         select postcode, cast(row_number() over (order by postcode) - 1 as int) as code, cast(count(*) over () as int) as n
+         from (select distinct postcode from unit where postcode is not null)) c on u.postcode = c.postcode""",
+    ("unit",),
+)
+def pre4_vectors(v: Views):
+    """As many categories as there are postcodes."""
+    return hot_places(one_hot_vectors(v.unit.select("k", "postcode"), "postcode", "v"), "v").select("k", "size", "place")
 
 
 @query(

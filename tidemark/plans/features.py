@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import NEAR_WATERCOURSE, NEAR_WATERCOURSE_METRES, NO_WATERCOURSE
 from tidemark.operators.quantiles import exact_quantiles, modes, scalars
+from tidemark.plans.dictionary import one_hot_stages
 
 WATERCOURSE_RULE = (
     "coalesce(nearestWatercourse, case when distanceToWatercourse < "
@@ -61,7 +62,7 @@ def feature_stages(
     guess_watercourse: bool = False,
     output: str = "features",
 ) -> list:
-    """Fitted SQL stage, then index, one-hot and assemble.
+    """Fitted SQL stage, then category codes from a table, one-hot and assemble.
 
     Categories are kept in sorted order; a value unseen in training becomes all
     zeros. ``standard`` columns are standardised, ``spread`` ones scaled to
@@ -76,21 +77,11 @@ def feature_stages(
             fill = common[c]
             value = rules.get(c, f"`{c}`")
             parts.append(f"coalesce({value}, {_text(fill) if fill is not None else 'cast(null as string)'}) as `f_{c}`")
-    stages = [SQLTransformer(statement=f"select *, {', '.join(parts)} from __THIS__")]
+    filled = SQLTransformer(statement=f"select *, {', '.join(parts)} from __THIS__")
+    stages: list = [filled]
     if categorical:
-        stages.append(
-            StringIndexer(
-                inputCols=[f"f_{c}" for c in categorical],
-                outputCols=[f"i_{c}" for c in categorical],
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            )
-        )
-        stages.append(
-            OneHotEncoder(
-                inputCols=[f"i_{c}" for c in categorical], outputCols=[f"h_{c}" for c in categorical], dropLast=True
-            )
-        )
+        names = [[f"{kind}_{c}" for c in categorical] for kind in ("f", "i", "h")]
+        stages += one_hot_stages(filled.transform(df).select(*names[0]), *names)
     inputs = [f"f_{c}" for c in numeric] + [f"h_{c}" for c in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"))
     return stages

@@ -7,14 +7,15 @@ lowered. Learners are MLlib's, so trees grow on the executors.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -218,16 +219,50 @@ PRICE_NUMBERS = {
 }
 
 
+#: Rounds without a better one after which boosting has passed its best (published value).
+PATIENCE = 15
+
+
+def best_rounds(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """How many rounds to keep: up to the best one that ``patience`` rounds after it do not beat."""
+    best = 0
+    for at, error in enumerate(errors):
+        if error < errors[best]:
+            best = at
+        elif at - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
+    """The ensemble of the first ``count`` trees and weights."""
+    if count >= model.getNumTrees:
+        return model
+    java = model._java_obj
+    context = SparkContext._active_spark_context
+    trees = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, count)
+    weights = context._gateway.new_array(context._jvm.double, count)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:count], java.treeWeights()[:count], strict=True)):
+        trees[i], weights[i] = tree, weight
+    cut = context._jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{java.uid()}_{count}", trees, weights, java.numFeatures())
+    for name in ("featuresCol", "labelCol", "predictionCol"):
+        cut.set(cut.getParam(name), model.getOrDefault(name))
+    return GBTRegressionModel(cut)
+
+
 @dataclass
 class BoostedPrices:
     """Median price from unit and sector (or district) features.
 
     Trees are boosted on the logarithm of the price. A tenth of the rows, by
-    key hash, decides when to stop.
+    key hash, decides where to stop: the error of every prefix of the ensemble
+    is taken on them (``errors``), and the trees after the best round go.
     """
 
     pipeline: PipelineModel
     merge_with: str = "sector"
+    rounds: int = 0
+    errors: list[float] = field(default_factory=list)
 
     @staticmethod
     def merge(units: DataFrame, groups: DataFrame, merge_with: str) -> DataFrame:
@@ -242,28 +277,22 @@ class BoostedPrices:
         rounds: int = 100,
         depth: int = 6,
         seed: int = 42,
+        patience: int = PATIENCE,
     ) -> BoostedPrices:
         if merge_with not in PRICE_NUMBERS:
             raise ValueError("merge_with must be 'sector' or 'district'")
         train = _train_table(cls.merge(units, groups, merge_with).na.drop(subset=["medianPrice"]))
-        train = train.withColumns(
-            {
-                "_label": F.log1p("medianPrice"),
-                "_held_out": F.pmod(keyed_hash(F.col("postcode"), seed), F.lit(10)) == 0,
-            }
-        )
+        held_out = F.pmod(keyed_hash(F.col("postcode"), seed), F.lit(10)) == 0
+        train = train.withColumns({"_label": F.log1p("medianPrice"), "_held_out": held_out})
         # Medians, scales and categories come from the rows that train.
-        stages = feature_stages(train.where("not _held_out"), robust=PRICE_NUMBERS[merge_with], categorical=["soilType"])
-        learner = GBTRegressor(
-            featuresCol="features",
-            labelCol="_label",
-            maxIter=rounds,
-            maxDepth=depth,
-            stepSize=0.3,
-            seed=seed,
-            validationIndicatorCol="_held_out",
-        )
-        return cls(_fit(train, [*stages, learner]), merge_with)
+        learned = train.where("not _held_out")
+        prepared = _fit(learned, feature_stages(learned, robust=PRICE_NUMBERS[merge_with], categorical=["soilType"]))
+        rows = materialize(prepared.transform(train).select("features", "_label", "_held_out"), "price-features")
+        learner = GBTRegressor(featuresCol="features", labelCol="_label", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=seed)
+        model, test = learner.fit(rows.where("not _held_out")), rows.where("_held_out")
+        errors = [] if test.isEmpty() else list(model.evaluateEachIteration(test, "squared"))
+        kept = best_rounds(errors, patience) if errors else model.getNumTrees
+        return cls(PipelineModel(stages=[*prepared.stages, first_trees(model, kept)]), merge_with, kept, errors)
 
     def predict(self, units: DataFrame, groups: DataFrame) -> DataFrame:
         """Predicted price per unit that has group data."""

@@ -196,7 +196,7 @@ class Links:
         self.bands = shared_bands(sets)
         # Sets that share any band, each once. All values of a set are equal, so the least is any.
         own = sets.join(self.bands.select("fp").distinct(), "fp", "left_semi")
-        self.prints = materialize(own.groupBy("fp").agg(*(F.min(c).alias(c) for c in ("key", "n", *PLANES))), "signatures")
+        self.prints = materialize(own.groupBy("fp").agg(*(F.min(c).alias(c) for c in ("key", "n", *PLANES)), F.any_value("bands").alias("bands")), "signatures")
         self.found = self.tested = None
 
     def roots(self) -> DataFrame:
@@ -209,7 +209,7 @@ class Links:
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sizes and packed bits allow the threshold, with a key of each."""
         for side in ("a", "b"):
-            pairs = pairs.join(self.prints.select(*(F.col(c).alias(f"{side}_{c}") for c in self.prints.columns)), F.col(side) == F.col(f"{side}_fp"))
+            pairs = pairs.join(self.prints.select(*(F.col(c).alias(f"{side}_{c}") for c in ("fp", "key", "n", *PLANES))), F.col(side) == F.col(f"{side}_fp"))
         able = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * self.least
         return pairs.where(able & (differing("a_", "b_") <= self.most)).select("a", "b", "a_key", "b_key")
 
@@ -308,13 +308,20 @@ class Links:
         return left.select(*names).unionByName(right.select(*names))
 
     def cells(self, rows: DataFrame, few: DataFrame) -> DataFrame:
-        """Sets of long bands compared by their packed bits: (x, root, y, more) with the ``FIRST`` likeliest of another group for each set, and whether there are more."""
+        """Sets of long bands compared by their packed bits: (x, root, y, more) with the ``FIRST`` likeliest of another group for each set, and whether there are more.
+
+        A band that two sets of different groups share holds several groups; if the first such band is a short one, the pair is compared there.
+        """
         least, most = self.least, self.most
 
         def compare(frame: pd.DataFrame) -> pd.DataFrame:
             own, out = Cell(frame, least, most), []
-            groups = frame["root"].to_numpy()
+            groups, listed = frame["root"].to_numpy(), np.stack(frame["bands"])
+            place = np.argmax(listed == frame["s"].to_numpy()[:, None], axis=1)
             for at, able, apart in own.likely(groups, False):
+                # A pair is told of in the first band that it shares.
+                first = np.argmax(listed[able] == listed[at], axis=1) == place[at]
+                able, apart = able[first], apart[first]
                 able = able[np.lexsort((apart, groups[able]))]
                 # Runs of one group, the likeliest first.
                 edges = np.flatnonzero(np.diff(groups[able])) + 1
@@ -322,7 +329,7 @@ class Links:
                     out += [(own.names[at], groups[y], own.names[y], bool(high - low > FIRST)) for y in able[low : min(high, low + FIRST)]]
             return pd.DataFrame(out, columns=["x", "root", "y", "more"]).astype({"x": "int64", "root": "int64", "y": "int64", "more": bool})
 
-        bits = self.prints.select("fp", "n", *PLANES)
+        bits = self.prints.select("fp", "n", "bands", *PLANES)
         return self.dealt(few, rows, ["s"], CELL).join(bits, "fp").groupBy("s", "i", "j").applyInPandas(compare, "x bigint, root bigint, y bigint, more boolean")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.quantiles import exact_quantiles, medians, scalars
+from tidemark.operators.sketches import sketch_percentiles, sketched
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -63,8 +64,10 @@ def extent(df: DataFrame, latitude: str = "latitude", longitude: str = "longitud
     )
 
 
-def percentiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """Exact percentiles as rows (prob, value)."""
+def percentiles(df: DataFrame, col: str, probs: Sequence[float], approximate: bool = False) -> DataFrame:
+    """Percentiles as rows (prob, value): exact, or on request from one pass with a sketch and its ``rank_error``."""
+    if approximate:
+        return sketch_percentiles(sketched(df, col), probs)
     table = exact_quantiles(df, [col], probs)
     return _rows(table, [{"prob": F.lit(float(p)), "value": F.col(col)[i]} for i, p in enumerate(probs)])
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import AGE_SHARES, RAW_FEATURES
 from tidemark.functions.postcode import postcode_area
-from tidemark.operators import stats
+from tidemark.operators import sketches, stats
 from tidemark.operators.lookups import smoothed
-from tidemark.operators.quantiles import medians, modes
+from tidemark.operators.quantiles import exact_quantiles, medians, modes
 from tidemark.operators.selection import split_stations
 from tidemark.plans.catalog import query
 from tidemark.plans.catalog.common import DISTRICT, KEYED, keyed, located_units, mode_sql, rounded

@@ -12,7 +12,7 @@ from tidemark.streaming.readings import (
     clean_readings,
     hourly_rain,
     landed_files,
-    level_alerts,
+    run_alerts,
     run_latest,
     run_to_table,
 )
@@ -61,13 +61,13 @@ def stm3(v: Views):
 
 @query(
     "stm4_level_alerts",
-    f"""with {CLEAN} select c.stationReference, c.dateTime, c.value, s.typicalRangeHigh from c
-        join stations s on c.stationReference = s.stationReference
+    f"""with {CLEAN} select distinct c.stationReference, c.dateTime, c.value, s.typicalRangeHigh from c
+        join (select stationReference, min(typicalRangeHigh) as typicalRangeHigh from stations group by 1) s on c.stationReference = s.stationReference
         where c.parameter = 'level' and c.value / 1000 > s.typicalRangeHigh""",
     ("readings", "stations"),
 )
 def stm4(v: Views):
     # Typical ranges of the view are in other units than its readings.
     stations = v.stations.withColumn("typicalRangeHigh", F.col("typicalRangeHigh") * 1000)
-    alerts = run_to_table(level_alerts(reading_stream(v), stations), "alerts")
+    alerts = run_alerts(reading_stream(v), lambda: stations)
     return plain_time(alerts).withColumn("typicalRangeHigh", F.round(F.col("typicalRangeHigh") / 1000, 6))

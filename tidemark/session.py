@@ -54,6 +54,22 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def folders_in(spark: SparkSession, path: str, marker: str = "_SUCCESS") -> list[str]:
+    """Names of the folders under ``path`` that hold ``marker``: those that were written to the end."""
+    hadoop, configuration = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    where = hadoop(path)
+    system = where.getFileSystem(configuration)
+    if not system.exists(where):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(where) if entry.isDirectory()]
+    return sorted(name for name in names if system.exists(hadoop(f"{path}/{name}/{marker}")))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @contextmanager
 def work_scope(spark: SparkSession):
     """Intermediate tables written inside are deleted at the end; results must be written or collected before.
@@ -65,10 +81,8 @@ def work_scope(spark: SparkSession):
     try:
         yield
     finally:
-        hadoop, configuration = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
         for path in given[before:]:
-            where = hadoop(path)
-            where.getFileSystem(configuration).delete(where, True)
+            delete_folder(spark, path)
         del given[before:]
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,3 +29,22 @@ def hashed_share(rows: DataFrame, key: str, share: float) -> DataFrame:
     if share >= 1:
         return rows
     return rows.where(F.pmod(F.xxhash64(F.lit("share"), F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+#: What a Python worker keeps from task to task: one thing at a time.
+_held: dict[str, Any] = {}
+
+
+def held(name: str, build: Callable[[], Any]) -> Any:
+    """The worker's thing of this name; anything else that it kept goes first."""
+    if name not in _held:
+        release()
+        _held[name] = build()
+    return _held[name]
+
+
+def release() -> None:
+    """Drop what this worker keeps, such as the words that an earlier stage has met."""
+    if _held:
+        _held.clear()
+        gc.collect()

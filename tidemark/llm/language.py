@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out
+from tidemark.llm.common import held, held_out
 from tidemark.operators.ranking import fresh
 from tidemark.session import materialize
 
@@ -173,10 +173,6 @@ def fit(rows: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
     return Model(languages, known, logs, gram_at, gram_logs)
 
 
-#: The scorer that a worker is using, by its model's name.
-_scorers: dict[str, Scorer] = {}
-
-
 def predict(docs: DataFrame, model: Model, text: str = "text", name: str = "found") -> DataFrame:
     """``docs`` with a struct of the predicted language and the share of its odds among all languages.
 
@@ -187,10 +183,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", name: str = "foun
 
     @F.pandas_udf("lang string, score double")
     def of(texts: pd.Series) -> pd.DataFrame:
-        scorer = _scorers.get(sent.value.name)
-        if scorer is None:
-            _scorers.clear()
-            scorer = _scorers[sent.value.name] = Scorer(sent.value)
+        scorer = held(f"language-{sent.value.name}", lambda: Scorer(sent.value))
         return pd.DataFrame([scorer.predict(t) for t in texts], columns=["lang", "score"])
 
     return docs.withColumn(name, of(F.col(text)))

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import release
 from tidemark.llm.components import roots
 from tidemark.session import materialize
 
@@ -158,6 +159,7 @@ def marked(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
 
     @F.pandas_udf(f"fp bigint, n int, bands array<bigint>, {fields}")
     def of(texts: pd.Series) -> pd.DataFrame:
+        release()
         names, sizes, listed, bits = [], [], [], np.zeros((len(texts), len(PLANES)), np.int64)
         for row, t in enumerate(texts):
             hashes = shingles(t, width)

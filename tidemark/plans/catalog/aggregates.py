@@ -8,7 +8,7 @@ from tidemark.constants import AGE_SHARES, RAW_FEATURES
 from tidemark.functions.postcode import postcode_area
 from tidemark.operators import sketches, stats
 from tidemark.operators.lookups import smoothed
-from tidemark.operators.quantiles import exact_quantiles, medians, modes
+from tidemark.operators.quantiles import medians, modes
 from tidemark.operators.selection import split_stations
 from tidemark.plans.catalog import query
 from tidemark.plans.catalog.common import DISTRICT, KEYED, keyed, located_units, mode_sql, rounded
@@ -127,6 +127,24 @@ def agg9(v: Views):
     return rounded(stats.percentiles(v.unit, "medianPrice", PROBS), 6, "value")
 
 
+@query(
+    "agg9_percentiles_from_sketches",
+    " union all ".join(f"select {p}e0 as prob, true as within" for p in PROBS),
+    ("unit",),
+)
+def agg9_sketches(v: Views):
+    """Sketches of parts, merged: whether the rank of each answer lies within the stated error."""
+    parts = sketches.sketched(v.unit.withColumn("part", F.col("k") % 7), "medianPrice", ["part"])
+    found = sketches.sketch_percentiles(sketches.merged(parts), PROBS)
+    found = found.agg(F.array_sort(F.collect_list(F.struct("prob", "value"))).alias("found"))  # one entry for each of PROBS
+    room, price = sketches.rank_error(), F.col("medianPrice").cast("double")
+    rows = v.unit.where(price.isNotNull()).join(found)  # one row beside each
+    value = lambda i: F.get("found", F.lit(i))["value"]
+    ranks = [F.struct(F.lit(float(p)).alias("prob"), F.avg((price < value(i)).cast("int")).alias("low"), F.avg((price <= value(i)).cast("int")).alias("high")) for i, p in enumerate(PROBS)]
+    ranks = rows.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks"))
+    return ranks.select("prob", (F.col("prob").between(F.col("low") - room, F.col("high") + room)).alias("within"))
+
+
 @query(
     "agg10_distinct_counts",
     " union all ".join(f"select '{c}' as `column`, count(distinct {c}) as n_distinct from unit" for c in TEXTS),

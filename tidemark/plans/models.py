@@ -86,6 +86,8 @@ class ForestSize:
     trees: int | None = None
     depth: int = 30
     seed: int = 42
+    #: Memory of a task for the statistics of the nodes that one pass splits; more of it, fewer passes.
+    memory_mb: int = 1024
 
 
 def _forest(size: ForestSize, trees: int, label: str, min_leaf: int = 1) -> RandomForestClassifier:
@@ -97,7 +99,8 @@ def _forest(size: ForestSize, trees: int, label: str, min_leaf: int = 1) -> Rand
         maxDepth=size.depth,
         minInstancesPerNode=min_leaf,
         seed=size.seed,
-        cacheNodeIds=False,
+        cacheNodeIds=True,
+        maxMemoryInMB=size.memory_mb,
     )
 
 

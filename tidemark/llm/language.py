@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held, held_out
+from tidemark.llm.common import held, held_out, trim
 from tidemark.operators.ranking import fresh
 from tidemark.session import materialize
 
@@ -183,6 +183,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", name: str = "foun
 
     @F.pandas_udf("lang string, score double")
     def of(texts: pd.Series) -> pd.DataFrame:
+        trim()
         scorer = held(f"language-{sent.value.name}", lambda: Scorer(sent.value))
         return pd.DataFrame([scorer.predict(t) for t in texts], columns=["lang", "score"])
 

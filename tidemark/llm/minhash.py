@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release
+from tidemark.llm.common import release, trim
 from tidemark.llm.components import roots
 from tidemark.session import materialize
 
@@ -160,6 +160,7 @@ def marked(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     @F.pandas_udf(f"fp bigint, n int, bands array<bigint>, {fields}")
     def of(texts: pd.Series) -> pd.DataFrame:
         release()
+        trim()
         names, sizes, listed, bits = [], [], [], np.zeros((len(texts), len(PLANES)), np.int64)
         for row, t in enumerate(texts):
             hashes = shingles(t, width)
@@ -221,6 +222,7 @@ class Links:
 
         @F.pandas_udf("array<bigint>")
         def of(texts: pd.Series, names: pd.Series) -> pd.Series:
+            trim()
             sets = (shingles(t, width) for t in texts)
             # A key may repeat, so the set's own number decides.
             return pd.Series([s if fingerprint(s) == name else None for s, name in zip(sets, names, strict=True)], dtype=object)

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hashed_share, held_out
+from tidemark.llm.common import hashed_share, held_out, trim
 from tidemark.operators.ranking import fresh
 from tidemark.session import materialize
 
@@ -224,6 +224,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
+        trim()
         return pd.Series(model.score(np.array([statistics(t) for t in texts])) if len(texts) else [], dtype=float)
 
     return docs.withColumn(name, of(F.col(text)))

@@ -19,7 +19,17 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.constants import AGE_PREDICTORS, AGE_SHARES, HISTORIC_THRESHOLD, RISK_CLASSES
+from tidemark.constants import (
+    AGE_PREDICTORS,
+    AGE_SHARES,
+    HISTORIC_THRESHOLD,
+    RISK_CLASSES,
+    flood_class_from_location_models,
+    flood_class_from_postcode_models,
+    historic_flooding_models,
+    house_price_models,
+    local_authority_models,
+)
 from tidemark.operators.knn import nearest_one
 from tidemark.operators.lookups import unit_district_merge, unit_sector_merge
 from tidemark.operators.quantiles import medians, scalars
@@ -33,28 +43,6 @@ from tidemark.session import materialize
 ID_COLUMNS = ("k", "postcode", "postcodeDistrict", "postcodeSector")
 CATEGORIES = ("soilType", "nearestWatercourse", "localAuthority")
 
-flood_class_from_postcode_models = {
-    "all_minimum_risk": "All minimum risk",
-    "seven_class_tool": "Seven Class Probability Model",
-}
-flood_class_from_location_models = {
-    "all_minimum_risk": "All minimum risk",
-    "seven_class_tool": "Seven Class Probability Model",
-    "knn": "K-Nearest Neighbors",
-}
-historic_flooding_models = {
-    "all_false": "All False",
-    "random_classification": "Random Classification",
-    "historic_rf": "Random Forest Historic Flood Classifier",
-}
-house_price_models = {
-    "house_prices_xgb": "Boosted Trees House Prices",
-    "all_england_median": "All England median price",
-}
-local_authority_models = {
-    "modal_local_authority": "Modal Local Authority",
-    "knn": "K-Nearest Neighbors",
-}
 REGISTRIES = {
     "flood_class_from_postcode": flood_class_from_postcode_models,
     "flood_class_from_location": flood_class_from_location_models,

@@ -6,7 +6,6 @@ it is one that can be, and the twins ask for the same rows with ``true``.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tidemark.functions.geodesy import add_wgs84
@@ -15,6 +14,7 @@ from tidemark.operators.impute import by_postcode
 from tidemark.operators.ranking import stratified_folds
 from tidemark.operators.location import coin_flip, england_median_price, minimum_risk, never_flooded
 from tidemark.plans import models as m
+from tidemark.plans import store
 from tidemark.plans.catalog import query
 from tidemark.plans.catalog.common import REQUESTS, keyed, requests
 from tidemark.plans.engine import RiskEngine
@@ -196,8 +196,8 @@ def snk2(v: Views):
     """Answers of a forest before and after it was saved and loaded."""
     path = fresh_path(v.spark, "model")
     model = m.SevenClassForest.fit(v.labelled)
-    model.pipeline.write().overwrite().save(path)
-    again = m.SevenClassForest(PipelineModel.load(path)).predict(v.unlabelled).select("k", "postcode", F.col("riskLabel").alias("loaded"))
+    store.save(model.pipeline, path, v.labelled, ["easting", "northing", "elevation", "distanceToWatercourse", *m.CATEGORIES])
+    again = m.SevenClassForest(store.load(v.spark, path, v.unlabelled)).predict(v.unlabelled).select("k", "postcode", F.col("riskLabel").alias("loaded"))
     both = model.predict(v.unlabelled).select("k", "riskLabel").join(again, "k")
     return both.select("postcode", F.col("riskLabel").between(1, 7).alias("in_range"), (F.col("riskLabel") == F.col("loaded")).alias("alike"))
 

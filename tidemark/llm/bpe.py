@@ -98,7 +98,11 @@ def decode(docs: DataFrame, ids: str = "ids", raw: str = "decoded", ranks: str =
 
 
 def digest(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """Per document: doc_id, number of ids, SHA-256 of the packed ids and of the decoded bytes."""
+    """Per document: doc_id, number of ids, SHA-256 of the packed ids and of the decoded bytes.
+
+    A null text counts as empty and has no ids. Null ids and rows that repeat have rows of their own; no rows
+    give no rows; other columns are not read.
+    """
     coded = decode(encode(docs.select("doc_id", "text"), ranks=ranks).select("doc_id", "ids"), ranks=ranks)
     return coded.select(
         "doc_id",

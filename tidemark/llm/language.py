@@ -195,7 +195,11 @@ def trained(docs: DataFrame, docs_each: int = TRAIN_DOCS) -> Model:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """Per document: whether it was held out, the predicted language and its score."""
+    """Per document: whether it was held out, the predicted language and its score.
+
+    Null and empty texts, and those without a letter, are ``und`` with score 0. A null id is not held out, and
+    never learned from; rows that repeat are judged alike; no rows give no rows; other columns are not read.
+    """
     found = predict(docs.select("doc_id", "text"), trained(docs))
     return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 

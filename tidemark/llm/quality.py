@@ -235,12 +235,19 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: whether it was held out, its score and the predicted label."""
+    """Per document: whether it was held out, its score and the predicted label.
+
+    Null texts count as empty ones, which have a score like any. A null id is not held out, and never
+    learned from; rows that repeat are scored alike; no rows give no rows; other columns are not read.
+    """
     scored = score(docs.select("doc_id", "text"), trained(docs, labels))
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score ``least`` or more; columns stay."""
+    """The rows of ``docs`` that score ``least`` or more; columns stay, whatever their names.
+
+    Null and empty texts are scored as such; rows that repeat stay or go together; an empty table stays empty.
+    """
     name = fresh(docs, "_score")
     return score(docs, model, text, name).where(F.col(name) >= least).select(*docs.columns)

@@ -220,5 +220,9 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", width
 
 
 def grouped(docs: DataFrame) -> DataFrame:
-    """Per document: its fingerprint in 16 hexadecimal digits and the id of its group."""
+    """Per document: its fingerprint in 16 hexadecimal digits and the id of its group.
+
+    The lists are those of six of the eight positional bytes: a pair meets in one exactly if its tally of shared
+    positional bytes reaches six, which two bits guarantee. Rows and cases as in :func:`near_groups`.
+    """
     return near_groups(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

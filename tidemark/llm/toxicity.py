@@ -411,7 +411,11 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: whether it was held out, its score and the predicted label."""
+    """Per document: whether it was held out, its score and the predicted label.
+
+    Null and empty texts get the score of a text without pieces. A null id is not held out, and never
+    learned from; rows that repeat are scored alike; no rows give no rows; other columns are not read.
+    """
     model = fit(materialize(labelled(docs, labels), "toxic-rows"))
     scored = score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -13,14 +13,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.llm.common import release, trim
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Texts above this many characters are cut. The library's pattern engine gives up on runs of about a million.
 LONG = 1 << 16
+#: Bytes of packed ids that leave a worker at once, about.
+PART = 1 << 22
 #: No match of the pattern crosses these places: white space after anything else, and the end of a run of
 #: letters or of digits. A cut there changes neither side, as the one lookahead of the pattern looks past white space only.
 CUT = regex.compile(r"(?<=\P{White_Space})(?=\p{White_Space})|(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})")
@@ -112,13 +118,40 @@ def digest(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     )
 
 
-def checked(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
+def checked(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """Per row: doc_id, source, number of ids, packed ids, and whether they decode to the text's bytes.
 
-    A null text counts as empty. Rows that repeat are encoded each.
+    A null text counts as empty. Rows that repeat are encoded each; no rows give no rows; other columns are not
+    read. Ids are decoded where they were made and leave in parts of about ``PART`` bytes, so that a task has one
+    worker, which holds one batch of texts and one part.
     """
-    coded = decode(encode(docs.select("doc_id", "source", "text"), ranks=ranks), ranks=ranks)
-    whole = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
-    return coded.select(
-        "doc_id", "source", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids", (F.col("decoded") == whole).alias("round_trip")
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        own = codec(ranks, pattern)
+        for batch in batches:
+            start, size, ids, same = 0, 0, [], []
+            for at, text in enumerate(batch.column("text"), 1):
+                whole = text.as_py() or ""
+                found = own.encode(whole).astype("<u4")
+                same.append(own.decode(found) == whole.encode())
+                ids.append(found.tobytes())
+                size += len(ids[-1])
+                if size >= PART or at == len(batch):
+                    kept = [batch.column(c).slice(start, at - start) for c in ("doc_id", "source")]
+                    counts = pa.array([len(i) // 4 for i in ids], pa.int64())
+                    yield pa.RecordBatch.from_arrays([*kept, counts, pa.array(ids, pa.binary()), pa.array(same)], names)
+                    start, size, ids, same = at, 0, [], []
+            trim()
+
+    rows = docs.select("doc_id", "source", "text")
+    schema = T.StructType(
+        [
+            *rows.drop("text").schema.fields,
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("round_trip", T.BooleanType()),
+        ]
     )
+    names = schema.names
+    return rows.mapInArrow(coded, schema)

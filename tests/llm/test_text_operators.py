@@ -56,6 +56,15 @@ class TestBytePair:
         assert coded.columns == [*awkward.columns, "packed"] and coded.count() == awkward.count()
         assert bpe.checked(awkward).where("not round_trip").count() == 0
 
+    @pytest.mark.parametrize("part", [1, 1 << 22])
+    def test_parts_hold_the_same_rows(self, awkward, empty, monkeypatch, part):
+        monkeypatch.setattr(bpe, "PART", part)
+        names = ["doc_id", "source", "n_tokens", "ids", "round_trip"]
+        got = bpe.checked(awkward)
+        want = bpe.encode(awkward).selectExpr("doc_id", "source", "cast(length(ids) div 4 as bigint) n_tokens", "ids", "true round_trip")
+        assert got.columns == names and rows(got) == rows(want)
+        assert bpe.checked(empty).columns == names and bpe.checked(empty).count() == 0
+
 
 class TestTokenStore:
     def test_pieces_change_nothing(self, monkeypatch):

@@ -7,7 +7,7 @@ import re
 
 import corpus_pipeline
 from tests.conftest import DATA
-from tidemark.llm import near_copies
+from tidemark.llm import minhash, near_copies, simhash
 from tidemark.llm.common import table
 
 
@@ -84,3 +84,29 @@ def test_equal_ids_of_different_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = sorted(r["text"] for r in near_copies.deduplicated(docs).collect())
     assert got == ["alpha beta gamma delta", "one two three four five"]
+
+
+def test_simhash_pairs_equal_brute_force(spark):
+    """The index pairs each fingerprint that has a lesser one nearby, and each set with the least of its fingerprint."""
+    rows = crowd()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = minhash.marked(docs, "doc_id", "text", near_copies.WIDTH, simhash.majority)
+    signs = {r["fp"]: r["sign"] for r in sets.collect() if r["n"]}
+    assert signs == {minhash.fingerprint(h): simhash.majority(h) for _, t in rows if len(h := minhash.shingles(t, near_copies.WIDTH))}
+    got = [(r["a"], r["b"]) for r in near_copies.simhash_pairs(sets).collect()]
+    heads = {}
+    for fp, sign in signs.items():
+        heads[sign] = min(fp, heads.get(sign, fp))
+    apart = lambda x, y: ((x ^ y) & (1 << 64) - 1).bit_count()
+    want = [(fp, heads[sign]) for fp, sign in signs.items() if heads[sign] != fp]
+    for sign, fp in heads.items():
+        if near := [other for other in heads if other < sign and apart(sign, other) <= near_copies.BITS]:
+            want.append((fp, heads[min(near)]))
+    assert sorted(got) == sorted(want) and len(got) > 10
+
+
+def test_stage_asks_simhash_first(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(near_copies.simhash, "links", lambda *a, own=simhash.links: asked.append(a) or own(*a))
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "A b c d e f g")], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.single(spark, docs, DATA).collect()] == [1] and asked

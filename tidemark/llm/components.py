@@ -23,18 +23,22 @@ def _small_star(links: DataFrame) -> DataFrame:
     return least.select("a", F.col("least").alias("b")).unionByName(others).distinct()
 
 
+def _unsettled(stars: DataFrame) -> int:
+    """How many nodes have two smaller neighbours, or both a smaller and a larger one. Without any, every link leads to the least node of its group."""
+    ends = stars.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(stars.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    each = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return each.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).count()
+
+
 def roots(links: DataFrame) -> DataFrame:
     """For links (a, b) of two different nodes: each linked node (a) and the least node it can reach (b).
 
     Links may repeat and go either way. The least node itself has no row. The
-    number of rounds grows with the logarithm of the longest chain; every round
-    is written, so nothing is computed twice and a lost executor costs one round.
+    number of rounds grows with the logarithm of the longest chain; both halves
+    of a round are written, so nothing is computed twice, plans stay short and a
+    lost executor costs half a round.
     """
     stars = materialize(_small_star(links), "stars")
-    seen = None
-    while True:
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen or not now[0]:
-            return stars
-        seen = now
-        stars = materialize(_small_star(_large_star(stars)), "stars")
+    while _unsettled(stars):
+        stars = materialize(_small_star(materialize(_large_star(stars), "large-stars")), "stars")
+    return stars

@@ -21,7 +21,7 @@ a pair of documents are taken for one with a chance below 1e-10 for texts of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import pairwise
 from math import exp, lgamma, log
@@ -153,26 +153,28 @@ def similarity(differing: float) -> float:
     return (1 - differing / MINIMA - accident) / (1 - accident)
 
 
-def marked(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Per row: key, the set's number ``fp``, its size ``n``, its bands and packed bits. One pass over the texts."""
-    fields = ", ".join(f"{w} bigint" for w in PLANES)
+def marked(docs: DataFrame, key: str, text: str, width: int, sign: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """Per row: key, the set's number ``fp``, its size ``n``, its bands and packed bits; with ``sign`` also what that makes of the set. One pass over the texts."""
+    fields = ", ".join(f"{w} bigint" for w in [*PLANES, *["sign"] * (sign is not None)])
 
     @F.pandas_udf(f"fp bigint, n int, bands array<bigint>, {fields}")
     def of(texts: pd.Series) -> pd.DataFrame:
         release()
         trim()
-        names, sizes, listed, bits = [], [], [], np.zeros((len(texts), len(PLANES)), np.int64)
+        names, sizes, listed, bits, signs = [], [], [], np.zeros((len(texts), len(PLANES)), np.int64), {}
         for row, t in enumerate(texts):
             hashes = shingles(t, width)
             names.append(fingerprint(hashes))
             sizes.append(len(hashes))
+            if sign is not None:
+                signs.setdefault("sign", []).append(sign(hashes))
             if len(hashes):
                 least = minima(hashes)
                 listed.append(bands(least))
                 bits[row] = packed(least)
             else:
                 listed.append([])
-        return pd.DataFrame({"fp": names, "n": sizes, "bands": listed} | {w: bits[:, i] for i, w in enumerate(PLANES)})
+        return pd.DataFrame({"fp": names, "n": sizes, "bands": listed} | {w: bits[:, i] for i, w in enumerate(PLANES)} | signs)
 
     return materialize(docs.select(F.col(key).alias("key"), of(F.col(text)).alias("of")).select("key", "of.*"), "minhash")
 
@@ -200,10 +202,20 @@ class Links:
         # Sets that share any band, each once. All values of a set are equal, so the least is any.
         own = sets.join(self.bands.select("fp").distinct(), "fp", "left_semi")
         self.prints = materialize(own.groupBy("fp").agg(*(F.min(c).alias(c) for c in ("key", "n", *PLANES)), F.any_value("bands").alias("bands")), "signatures")
-        self.found = self.tested = None
+        self.tested = None
+        # Groups so far as stars (a, b), and links that came after.
+        self.stars, self.new = self.bands.where("false").select(F.col("fp").alias("a"), F.col("low").alias("b")), []
+
+    def found(self, links: DataFrame) -> None:
+        links = materialize(links, "near-links")
+        if links.count():
+            self.new.append(links)
 
     def roots(self) -> DataFrame:
-        return roots(self.found).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+        if self.new:
+            self.stars = roots(reduce(DataFrame.unionByName, [self.stars, *self.new]))
+            self.new = []
+        return self.stars.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
     def rooted(self, rows: DataFrame, tree: DataFrame, of: str, out: str) -> DataFrame:
         names = tree.select(F.col("fp").alias(of), F.col("root").alias(out))
@@ -235,10 +247,16 @@ class Links:
         return rows.where("hashes is not null").drop("key", "text", "wanted_key")
 
     def add(self, pairs: DataFrame) -> None:
-        """Confirm pairs (a, b) on whole sets. Sets of ``a`` travel with their pair, those of ``b`` once."""
+        """Confirm those of the pairs (a, b) that are likely and were not tested yet."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = materialize(self.likely(pairs), "likely")
+        self.confirm(self.likely(pairs))
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Confirm pairs (a, b, a_key, b_key) on whole sets. Sets of ``a`` travel with their pair, those of ``b`` once."""
+        pairs = materialize(pairs, "likely")
+        if not pairs.count():
+            return
         tested = pairs.select("a", "b")
         self.tested = tested if self.tested is None else self.tested.unionByName(tested)
         left = self.whole(pairs.select(F.col("a_key").alias("wanted_key"), F.col("a").alias("fp"), "b")).withColumnsRenamed({"fp": "a", "hashes": "x"})
@@ -246,12 +264,15 @@ class Links:
         right = right.dropDuplicates(["fp"]).withColumnsRenamed({"fp": "b", "hashes": "y"})
         both = F.size(F.array_intersect("x", "y"))
         alike = both * 100 >= (F.size("x") + F.size("y") - both) * self.least
-        new = left.join(right, "b").where(alike).select("a", "b")
-        self.found = materialize(new if self.found is None else self.found.unionByName(new), "near-links")
+        self.found(left.join(right, "b").where(alike).select("a", "b"))
 
     def leaders(self) -> None:
-        """Each set with the least leader of its bands, then with the others that lead to another group."""
-        self.add(self.bands.where("fp <> low").groupBy("fp").agg(F.min("low").alias("b")).select(F.col("fp").alias("a"), "b"))
+        """Each set with the least leader of its bands, then with the others that lead to another group. Sets of one group need no more links."""
+        pairs = self.bands.where("fp <> low").groupBy("fp").agg(F.min("low").alias("b")).select(F.col("fp").alias("a"), "b")
+        if self.new:
+            tree = self.roots()
+            pairs = self.rooted(self.rooted(pairs, tree, "a", "root"), tree, "b", "other").where("root <> other").select("a", "b")
+        self.add(pairs)
         ends = self.bands.select("fp", F.explode(F.array("low", "high")).alias("b")).where("fp <> b").distinct()
         tree = self.roots()
         ends = self.rooted(self.rooted(ends, tree, "fp", "root"), tree, "b", "other")
@@ -263,9 +284,11 @@ class Links:
         rows = self.rooted(self.bands.select("s", "fp"), rows_roots, "fp", "root")
         mixed_bands = rows.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("all")).where("low <> high")
         rows = materialize(rows.join(mixed_bands.select("s", "all"), "s"), "mixed-bands")
+        if not rows.count():
+            return
         sizes = rows.groupBy("s", "root").agg(F.count(F.lit(1)).alias("size"))
         largest = sizes.groupBy("s").agg(F.max(F.struct("size", "root")).alias("most")).select("s", F.col("most.root").alias("largest"), F.col("most.size").alias("size"))
-        rows = rows.join(largest, "s").withColumn("few", F.col("all") - F.col("size"))
+        rows = materialize(rows.join(largest, "s").withColumn("few", F.col("all") - F.col("size")), "sized-bands")
         few = rows.where("root <> largest")
         near = few.where(F.col("all") <= SHORT).select("s", F.col("fp").alias("b"), F.col("root").alias("other"))
         short = rows.where(F.col("all") <= SHORT).join(near, "s").where("root <> other")
@@ -276,7 +299,9 @@ class Links:
         crowded = long.where("more").select(F.col("x").alias("fp"), "root").distinct()
         tree = self.roots()
         crowded = self.rooted(self.rooted(crowded, tree, "fp", "own"), tree, "root", "other").where("own <> other").select("fp", "root")
-        self.found = materialize(self.found.unionByName(self.searched(materialize(crowded, "crowded"), before)), "near-links")
+        crowded = materialize(crowded, "crowded")
+        if crowded.count():
+            self.found(self.searched(crowded, before))
 
     def searched(self, crowded: DataFrame, members: DataFrame) -> DataFrame:
         """One link (a, b) of each set ``fp`` to a member of the group ``root``, if there is any: whole sets of both in cells of bounded size."""
@@ -337,6 +362,13 @@ class Links:
         return self.dealt(few, rows, ["s"], CELL).join(bits, "fp").groupBy("s", "i", "j").applyInPandas(compare, "x bigint, root bigint, y bigint, more boolean")
 
 
+    def trees(self, sets: DataFrame) -> DataFrame:
+        """(fp, root) of every distinct set, after all links are found."""
+        self.leaders()
+        self.rest()
+        return materialize(self.rooted(sets.select("fp").distinct(), self.roots(), "fp", "root"), "near-roots")
+
+
 class Cell:
     """The rows of a cell, their packed bits in one array."""
 
@@ -358,11 +390,7 @@ class Cell:
 def near_sets(docs: DataFrame, key: str, text: str, width: int = WIDTH, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """Rows (key, fp, n) of the documents, and (fp, root) of every distinct set: sets of one group have one root."""
     sets = marked(docs, key, text, width)
-    links = Links(docs, sets, key, text, width, least)
-    links.leaders()
-    links.rest()
-    trees = links.rooted(sets.select("fp").distinct(), links.roots(), "fp", "root")
-    return sets.select("key", "fp", "n"), materialize(trees, "near-roots")
+    return sets.select("key", "fp", "n"), Links(docs, sets, key, text, width, least).trees(sets)
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, least: int = LEAST) -> DataFrame:

@@ -50,6 +50,14 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<i8")[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """SimHash of 64-bit hashes as a signed number: the bits that are set in over half of them; 0 without any."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        counts += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprints(text: Column, width: int = SHINGLE) -> Column:
     """The fingerprints of a text column."""
 

@@ -131,3 +131,15 @@ def test_cells_count_all_bits():
     frame = pd.DataFrame(words, columns=minhash.PLANES).assign(fp=range(40), n=10, side=[0] * 20 + [1] * 20)
     found = {at: dict(zip(able.tolist(), apart.tolist(), strict=True)) for at, able, apart in minhash.Cell(frame, 80, 90).likely(np.zeros(40, np.int64), True)}
     assert all(found[at][at + 20] == 3 for at in range(20))
+
+
+def test_few_queries(spark):
+    """Every query leaves plans, threads and code on the driver, so steps without rows run none."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(20)]
+    docs = spark.createDataFrame([*rows, (99, rows[0][1] + " end")], "doc_id bigint, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    groups = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(docs).collect()}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert groups[99] == 0 and len(set(groups.values())) == 20
+    assert store.executionsCount() - before < 24

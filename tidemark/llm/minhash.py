@@ -206,15 +206,19 @@ class Links:
         # Groups so far as stars (a, b), and links that came after.
         self.stars, self.new = self.bands.where("false").select(F.col("fp").alias("a"), F.col("low").alias("b")), []
 
-    def found(self, links: DataFrame) -> None:
+    @property
+    def found(self) -> DataFrame:
+        """Links that join the groups found so far."""
+        return reduce(DataFrame.unionByName, [self.stars, *self.new])
+
+    def take(self, links: DataFrame) -> None:
         links = materialize(links, "near-links")
         if links.count():
             self.new.append(links)
 
     def roots(self) -> DataFrame:
         if self.new:
-            self.stars = roots(reduce(DataFrame.unionByName, [self.stars, *self.new]))
-            self.new = []
+            self.stars, self.new = roots(self.found), []
         return self.stars.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
     def rooted(self, rows: DataFrame, tree: DataFrame, of: str, out: str) -> DataFrame:
@@ -255,16 +259,16 @@ class Links:
     def confirm(self, pairs: DataFrame) -> None:
         """Confirm pairs (a, b, a_key, b_key) on whole sets. Sets of ``a`` travel with their pair, those of ``b`` once."""
         pairs = materialize(pairs, "likely")
-        if not pairs.count():
-            return
         tested = pairs.select("a", "b")
         self.tested = tested if self.tested is None else self.tested.unionByName(tested)
+        if not pairs.count():
+            return
         left = self.whole(pairs.select(F.col("a_key").alias("wanted_key"), F.col("a").alias("fp"), "b")).withColumnsRenamed({"fp": "a", "hashes": "x"})
         right = self.whole(pairs.select(F.col("b_key").alias("wanted_key"), F.col("b").alias("fp")).distinct())
         right = right.dropDuplicates(["fp"]).withColumnsRenamed({"fp": "b", "hashes": "y"})
         both = F.size(F.array_intersect("x", "y"))
         alike = both * 100 >= (F.size("x") + F.size("y") - both) * self.least
-        self.found(left.join(right, "b").where(alike).select("a", "b"))
+        self.take(left.join(right, "b").where(alike).select("a", "b"))
 
     def leaders(self) -> None:
         """Each set with the least leader of its bands, then with the others that lead to another group. Sets of one group need no more links."""
@@ -301,7 +305,7 @@ class Links:
         crowded = self.rooted(self.rooted(crowded, tree, "fp", "own"), tree, "root", "other").where("own <> other").select("fp", "root")
         crowded = materialize(crowded, "crowded")
         if crowded.count():
-            self.found(self.searched(crowded, before))
+            self.take(self.searched(crowded, before))
 
     def searched(self, crowded: DataFrame, members: DataFrame) -> DataFrame:
         """One link (a, b) of each set ``fp`` to a member of the group ``root``, if there is any: whole sets of both in cells of bounded size."""

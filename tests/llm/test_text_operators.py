@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -219,3 +221,13 @@ class TestIMatch:
     def test_edits_stay_nearer_than_strangers(self, spark):
         out = imatch.compared(table(spark, DATA.replace("0.001", "0.01"), "documents")).where("n_chars > 500").toPandas()
         assert (out.near_edited > out.near_next).mean() > 0.9
+
+
+def test_no_search_for_cycles_inside():
+    """The collector would walk over all remembered pieces again and again; it is off inside and on afterwards."""
+    own, seen = token_store.Encoder(token_store.TOKENIZER), []
+    asked = own.ask
+    own.ask = lambda *a: seen.append(gc.isenabled()) or asked(*a)
+    text = "Words, end: here.\nNext ones-too, twice, twice! (a,b) a\tb, 1,2"
+    ids = Tokenizer.from_file(token_store.TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert own.encode([text]) == [array(own.kind, ids).tobytes()] and gc.isenabled() and set(seen) == {False}

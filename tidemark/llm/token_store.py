@@ -11,10 +11,12 @@ costs the same for any segment size, and the fingerprint turns strangers away.
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from string import punctuation
 
 import numpy as np
@@ -56,6 +58,18 @@ class Memory(dict):
             self.clear()
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for reference cycles inside: it would walk over all that is remembered, again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Encoder:
     """The tokenizers library, asked once for each distinct piece of text.
 
@@ -115,6 +129,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed in ``width`` bytes each."""
+        with uncollected():
+            return self.encoded(texts)
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
         self.spaced.trim()
         self.plain.trim()
         out: list[tuple[str, list[bytes | None]]] = []  # what comes first, and the ids of the pieces after blanks
@@ -133,8 +151,12 @@ class Encoder:
                     if ids is not None:
                         found[at] = self.spaced[piece] = ids
                         continue
-                    cut = [piece] if piece.isalnum() else self.split(piece)
-                    if cut is None:
+                    # Most pieces are a word, or a word and what ends it; those need no closer look.
+                    if piece.isalnum():
+                        cut = [piece]
+                    elif "\n" not in piece and (word := piece.rstrip(punctuation)) != piece and word.isalpha():
+                        cut = [word, piece[len(word) :]]
+                    elif (cut := self.split(piece)) is None:
                         unsafe = True
                         break
                     parts[piece] = cut

@@ -110,3 +110,13 @@ def test_stage_asks_simhash_first(spark, monkeypatch):
     monkeypatch.setattr(near_copies.simhash, "links", lambda *a, own=simhash.links: asked.append(a) or own(*a))
     docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "A b c d e f g")], "doc_id bigint, text string")
     assert [r["doc_id"] for r in corpus_pipeline.single(spark, docs, DATA).collect()] == [1] and asked
+
+
+def test_stage_runs_few_queries(spark):
+    """The driver keeps the plan, the stages and the tasks of every query, so a session of many runs must not ask much of each."""
+    docs = spark.createDataFrame(crowd(), "doc_id bigint, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    near_copies.deduplicated(docs).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert store.executionsCount() - before <= 50

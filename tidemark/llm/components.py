@@ -9,10 +9,10 @@ from tidemark.session import materialize
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the least of the node's neighbourhood."""
+    """Every larger neighbour of a node is linked to the least of the node's neighbourhood. Rows may repeat, but are no more than the links."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

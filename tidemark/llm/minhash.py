@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import pairwise
-from math import exp, lgamma, log
+from math import exp, inf, lgamma, log
 
 import numpy as np
 import pandas as pd
@@ -232,8 +232,8 @@ class Links:
         able = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * self.least
         return pairs.where(able & (differing("a_", "b_") <= self.most)).select("a", "b", "a_key", "b_key")
 
-    def whole(self, wanted: DataFrame) -> DataFrame:
-        """Rows of ``wanted`` (wanted_key, fp, ...) with the whole set of ``fp``, made from the text of the key."""
+    def whole(self, wanted: DataFrame, most: float = inf) -> DataFrame:
+        """Rows of ``wanted`` (wanted_key, fp, ...) with the whole set of ``fp``, made from the text of the key. ``most``: no more rows than that, if it is known."""
         width = self.width
 
         @F.pandas_udf("array<bigint>")
@@ -243,40 +243,42 @@ class Links:
             # A key may repeat, so the set's own number decides.
             return pd.Series([s if fingerprint(s) == name else None for s, name in zip(sets, names, strict=True)], dtype=object)
 
-        if wanted.count() <= SENT:
+        if most <= SENT or wanted.count() <= SENT:
             wanted = F.broadcast(wanted)
         rows = self.docs.join(wanted, F.col("key").eqNullSafe(F.col("wanted_key")))
         # Not deterministic only by name: so it runs once, and on the joined rows alone.
         rows = rows.withColumn("hashes", of.asNondeterministic()("text", "fp"))
         return rows.where("hashes is not null").drop("key", "text", "wanted_key")
 
-    def add(self, pairs: DataFrame) -> None:
-        """Confirm those of the pairs (a, b) that are likely and were not tested yet."""
+    def add(self, pairs: DataFrame, sure: DataFrame | None = None) -> None:
+        """Confirm those of the pairs (a, b) that are likely and were not tested yet, and all of ``sure`` (a, b, a_key, b_key)."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        self.confirm(self.likely(pairs))
+        likely = self.likely(pairs)
+        self.confirm(likely if sure is None else sure.unionByName(likely).dropDuplicates(["a", "b"]))
 
     def confirm(self, pairs: DataFrame) -> None:
         """Confirm pairs (a, b, a_key, b_key) on whole sets. Sets of ``a`` travel with their pair, those of ``b`` once."""
         pairs = materialize(pairs, "likely")
         tested = pairs.select("a", "b")
         self.tested = tested if self.tested is None else self.tested.unionByName(tested)
-        if not pairs.count():
+        most = pairs.count()
+        if not most:
             return
-        left = self.whole(pairs.select(F.col("a_key").alias("wanted_key"), F.col("a").alias("fp"), "b")).withColumnsRenamed({"fp": "a", "hashes": "x"})
-        right = self.whole(pairs.select(F.col("b_key").alias("wanted_key"), F.col("b").alias("fp")).distinct())
+        left = self.whole(pairs.select(F.col("a_key").alias("wanted_key"), F.col("a").alias("fp"), "b"), most).withColumnsRenamed({"fp": "a", "hashes": "x"})
+        right = self.whole(pairs.select(F.col("b_key").alias("wanted_key"), F.col("b").alias("fp")).distinct(), most)
         right = right.dropDuplicates(["fp"]).withColumnsRenamed({"fp": "b", "hashes": "y"})
         both = F.size(F.array_intersect("x", "y"))
         alike = both * 100 >= (F.size("x") + F.size("y") - both) * self.least
         self.take(left.join(right, "b").where(alike).select("a", "b"))
 
-    def leaders(self) -> None:
-        """Each set with the least leader of its bands, then with the others that lead to another group. Sets of one group need no more links."""
+    def leaders(self, first: DataFrame | None = None) -> None:
+        """Each set with the least leader of its bands, then with the others that lead to another group. Sets of one group need no more links.
+
+        The pairs of ``first`` (a, b, a_key, b_key) are confirmed with the first of these, in one pass over the texts.
+        """
         pairs = self.bands.where("fp <> low").groupBy("fp").agg(F.min("low").alias("b")).select(F.col("fp").alias("a"), "b")
-        if self.new:
-            tree = self.roots()
-            pairs = self.rooted(self.rooted(pairs, tree, "a", "root"), tree, "b", "other").where("root <> other").select("a", "b")
-        self.add(pairs)
+        self.add(pairs, first)
         ends = self.bands.select("fp", F.explode(F.array("low", "high")).alias("b")).where("fp <> b").distinct()
         tree = self.roots()
         ends = self.rooted(self.rooted(ends, tree, "fp", "root"), tree, "b", "other")
@@ -284,11 +286,12 @@ class Links:
 
     def rest(self) -> None:
         """Sets of bands that still hold several groups. One at least of two such sets is not of the band's largest group."""
-        rows_roots = materialize(self.roots(), "roots")
+        rows_roots = self.roots()
         rows = self.rooted(self.bands.select("s", "fp"), rows_roots, "fp", "root")
         mixed_bands = rows.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("all")).where("low <> high")
         rows = materialize(rows.join(mixed_bands.select("s", "all"), "s"), "mixed-bands")
-        if not rows.count():
+        longest = rows.agg(F.max("all")).first()[0]
+        if longest is None:
             return
         sizes = rows.groupBy("s", "root").agg(F.count(F.lit(1)).alias("size"))
         largest = sizes.groupBy("s").agg(F.max(F.struct("size", "root")).alias("most")).select("s", F.col("most.root").alias("largest"), F.col("most.size").alias("size"))
@@ -297,6 +300,9 @@ class Links:
         near = few.where(F.col("all") <= SHORT).select("s", F.col("fp").alias("b"), F.col("root").alias("other"))
         short = rows.where(F.col("all") <= SHORT).join(near, "s").where("root <> other")
         short = short.select(F.greatest("fp", "b").alias("a"), F.least("fp", "b").alias("b"))
+        if longest <= SHORT:
+            self.add(short.distinct())
+            return
         long = materialize(self.cells(rows.where(F.col("all") > SHORT), few.where(F.col("all") > SHORT)), "cells")
         self.add(short.unionByName(long.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).distinct())
         before = self.rooted(self.bands.select("fp").distinct(), rows_roots, "fp", "root")
@@ -366,9 +372,9 @@ class Links:
         return self.dealt(few, rows, ["s"], CELL).join(bits, "fp").groupBy("s", "i", "j").applyInPandas(compare, "x bigint, root bigint, y bigint, more boolean")
 
 
-    def trees(self, sets: DataFrame) -> DataFrame:
-        """(fp, root) of every distinct set, after all links are found."""
-        self.leaders()
+    def trees(self, sets: DataFrame, first: DataFrame | None = None) -> DataFrame:
+        """(fp, root) of every distinct set, after all links are found; ``first`` as in :meth:`leaders`."""
+        self.leaders(first)
         self.rest()
         return materialize(self.rooted(sets.select("fp").distinct(), self.roots(), "fp", "root"), "near-roots")
 

@@ -4,8 +4,9 @@ Candidates come from SimHash first: fingerprints of the sets, compared through
 the index over byte positions of :mod:`tidemark.llm.simhash`, and confirmed on
 whole sets. Its lists can be kept only up to a few differing bits, while sets
 of similarity 0.8 differ in about ten of 64, so the index alone would miss
-links. What it cannot promise the bands of :mod:`tidemark.llm.minhash` find;
-they compare only sets that no link of the first step joins.
+links. What it cannot promise the bands of :mod:`tidemark.llm.minhash` find:
+each set is confirmed with one leader of its bands in the same pass over the
+texts, and later only with sets that no link joins to it yet.
 """
 
 from __future__ import annotations
@@ -48,5 +49,5 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     sets = minhash.marked(docs, key, text, WIDTH, simhash.majority)
     links = minhash.Links(docs, sets, key, text, WIDTH, minhash.LEAST)
-    links.confirm(simhash_pairs(sets))
-    return simhash.first_of_groups(docs, sets.select("key", "fp"), links.trees(sets), minhash.fingerprints(WIDTH), key, text)
+    trees = links.trees(sets, simhash_pairs(sets))
+    return simhash.first_of_groups(docs, sets.select("key", "fp"), trees, minhash.fingerprints(WIDTH), key, text)

@@ -76,6 +76,28 @@ def test_texts(spark):
     assert one.select(measure_unit(F.col("m")), tidy_qualifier(F.col("q"))).first()[:] == ("mm/readings", "Tipping Bucket-Raingauge 2Nd")
 
 
+def test_tidy_qualifier_reads_its_text_once(spark):
+    texts = ["tipping_bucket-raingauge 2nd", "", None, "a", "ÉCOLE_été", "ßa", "x__y1z", "\U0001d4b3a_b", "_a"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, q string")
+    found = [r[0] for r in rows.orderBy("i").select(tidy_qualifier(F.col("q"))).collect()]
+    assert found == ["Tipping Bucket-Raingauge 2Nd", "", None, "A", "École Été", "SSa", "X  Y1Z", "\U0001d4b3A B", " A"]
+    # A text that is costly to find must not be found anew for each of its letters.
+    costly = rows.select(tidy_qualifier(F.regexp_extract("q", "^(.*)$", 1)).alias("q"))
+    plan = costly._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1, plan
+
+
+def test_one_file_is_dealt_to_all_cores(spark, tmp_path):
+    from tidemark.sources.tables import spread
+
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    dealt = spread(one)
+    assert one.rdd.getNumPartitions() == 1 and dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+    assert spread(dealt) is dealt
+
+
 def test_missing_time_counts_as_last(spark):
     df = spark.createDataFrame([("s", "rainfall", "2025-01-01 00:00:00", 1.0, "mm"), ("s", "rainfall", None, 2.0, "mm")], "stationReference string, parameter string, t string, value double, unitName string")
     df = df.withColumn("dateTime", F.col("t").cast("timestamp"))

@@ -122,8 +122,8 @@ def str7(v: Views):
        from events where event_id % 50 <> 0""",
 )
 def str8(v: Views):
-    q = tidy_qualifier(measure_qualifier(F.col("measure")))
-    return measure_ids(v).select("event_id", q.alias("qualifier")).where("qualifier is not null")
+    found = measure_ids(v).select("event_id", measure_qualifier(F.col("measure")).alias("qualifier")).where("qualifier is not null")
+    return found.withColumn("qualifier", tidy_qualifier(F.col("qualifier")))
 
 
 CAPPED = ["elevation", "medianPrice", "distanceToWatercourse"]

@@ -18,6 +18,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.when(~F.isnan(F.col(f"`{n}`")), F.col(f"`{n}`")) for n in floats})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt to all cores if fewer tasks read them: a file of one row group is read by one."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 class Library:
     """Entity tables under one base folder: ``raw``, ``example``, ``preprocessed``.
 

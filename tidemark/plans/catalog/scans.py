@@ -11,7 +11,7 @@ from tidemark.plans.catalog.common import plain_time, rounded
 from tidemark.schemas import LABELLED_UNIT, STATION
 from tidemark.session import fresh_path
 from tidemark.sources.feeds import latest_rainfall, payload_items, weather_hours, weather_now
-from tidemark.sources.tables import Library, station_readings, stations, write_table
+from tidemark.sources.tables import Library, spread, station_readings, stations, write_table
 from tidemark.sources.views import Views
 
 
@@ -72,7 +72,8 @@ def readings_payloads(v: Views):
         item.format(id=good_id, when=when, value="'null'"),
     ]
     text = "concat('{\"items\":[', " + ", ',', ".join(items) + ", ']}')"
-    return v.table("events").selectExpr("event_id", f"{text} as payload")
+    events = spread(v.table("events").select("event_id", "ts", "user_id", "value"))
+    return events.selectExpr("event_id", f"{text} as payload")
 
 
 @query(

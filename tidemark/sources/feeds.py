@@ -35,12 +35,14 @@ def latest_rainfall(df: DataFrame, payload: str = "payload") -> DataFrame:
             measure_station(measure).alias("stationReference"),
             event_time(F.col("dateTime")).alias("dateTime"),
             number_or_null(F.col("value")).alias("value"),
-            tidy_qualifier(measure_qualifier(measure)).alias("qualifier"),
+            measure_qualifier(measure).alias("qualifier"),
             measure_unit(measure).alias("unitName"),
             F.lit("rainfall").alias("parameter"),
         )
         .na.drop("any")
         .orderBy("stationReference", "dateTime")
+        # After the sort, which reads its input twice to choose ranges.
+        .withColumn("qualifier", tidy_qualifier(F.col("qualifier")))
     )
 
 

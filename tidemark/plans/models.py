@@ -37,7 +37,9 @@ from tidemark.operators.ranking import keyed_hash
 from tidemark.operators.scaling import balanced_weights, fixed_weights
 from tidemark.operators.selection import numeric_and_other
 from tidemark.operators.stats import shares_of_row
+from tidemark.plans.dictionary import CategoryCodes
 from tidemark.plans.features import feature_stages
+from tidemark.plans.forest import ForestClassifier
 from tidemark.session import materialize
 
 ID_COLUMNS = ("k", "postcode", "postcodeDistrict", "postcodeSector")
@@ -92,6 +94,15 @@ def _forest(size: ForestSize, trees: int, label: str, min_leaf: int = 1) -> Rand
     )
 
 
+def _wide_forest(size: ForestSize, trees: int, label: str, stages: list, min_leaf: int = 1) -> ForestClassifier:
+    """The forest of many deep trees, on the columns that the feature stages made."""
+    codes = next(stage for stage in stages if isinstance(stage, CategoryCodes))
+    numbers = [c for c in stages[-1].getInputCols() if c.startswith("f_")]
+    return ForestClassifier(
+        numbers, codes.out, codes.sizes, label, "weight", size.trees or trees, size.depth, min_leaf, size.seed
+    )
+
+
 def _train_table(df: DataFrame) -> DataFrame:
     """Training rows, written once: fitting passes over them many times."""
     return materialize(df, "train")
@@ -120,7 +131,7 @@ class SevenClassForest:
             categorical=CATEGORIES,
             guess_watercourse=True,
         )
-        return cls(_fit(train, [*stages, _forest(size or ForestSize(), 400, "_label", 2)]), label)
+        return cls(_fit(train, [*stages, _wide_forest(size or ForestSize(), 400, "_label", stages, 2)]), label)
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add the predicted class, replacing a true label if there is one."""
@@ -161,7 +172,7 @@ class SevenClassProbability:
         stages = feature_stages(
             train, standard=[c for c in base if c in train.columns] + extra, categorical=CATEGORIES
         )
-        return cls(_fit(train, [*stages, _forest(size or ForestSize(), 300, "_label")]))
+        return cls(_fit(train, [*stages, _wide_forest(size or ForestSize(), 300, "_label", stages)]))
 
     def predict(self, units: DataFrame, districts: DataFrame) -> DataFrame:
         df = probability_features(units, districts)

@@ -118,9 +118,9 @@ def test_groups_of_trees_add_up(spark, monkeypatch):
 
 def test_cuts(spark):
     df = spark.createDataFrame([(float(i), float(i % 3 == 0 or 5), None, 7.0) for i in range(1000)], "a double, b double, c double, d double")
-    a, b, c, d = number_cuts(df, ["a", "b", "c", "d"])
+    (a, b, c, d), facts = number_cuts(df, ["a", "b", "c", "d"], F.count("*").alias("rows"))
     assert len(a) == 32 and a[0] == 0 and all(abs(x - 31.25 * i) < 3 for i, x in enumerate(a[1:], 1))
-    assert b == [3.0] and c == [] and d == []
+    assert b == [3.0] and c == [] and d == [] and facts["rows"] == 1000
 
 
 def test_as_good_as_mllib(spark):

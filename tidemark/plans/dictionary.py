@@ -8,7 +8,6 @@ only if it is small. No list of values is ever on the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import Transformer
 from pyspark.ml.feature import OneHotEncoder
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import unwrap_udt
 
-from tidemark.operators.ranking import category_codes, fresh
+from tidemark.operators.ranking import fresh, positions
 from tidemark.session import materialize
 
 
@@ -35,10 +34,15 @@ class CategoryCodes(Transformer, MLWritable, MLReadable):
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], out: Sequence[str]) -> CategoryCodes:
         """Learn the values of text columns."""
-        parts = [category_codes(df.select(F.col(f"`{c}`").cast("string").alias("value")), "value", "code").select(F.lit(i).alias("column"), "value", "code") for i, c in enumerate(cols)]
-        table = materialize(reduce(DataFrame.unionByName, parts), "category-codes", "column")
-        known = {row["column"]: row["n"] for row in table.groupBy("column").agg(F.count("*").alias("n")).collect()}  # one row a column
-        return cls(cols, out, [known.get(i, 0) for i in range(len(cols))], table)
+        values = [F.struct(F.lit(i).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(cols)]
+        known = df.select(F.inline(F.array(*values))).where("value is not null").distinct()
+        # All columns in one sort: a code is the place less that of the column's first value.
+        placed = materialize(positions(known, [F.col("column"), F.col("value")], "place"), "category-codes", "column")
+        facts = placed.groupBy("column").agg(F.min("place").alias("first"), F.count("*").alias("n")).collect()  # one row a column
+        firsts, sizes = {r["column"]: r["first"] for r in facts}, {r["column"]: r["n"] for r in facts}
+        first = F.get(F.array(*[F.lit(firsts.get(i, 0)) for i in range(len(cols))]), F.col("column"))
+        table = placed.select("column", "value", (F.col("place") - first).cast("int").alias("code"))
+        return cls(cols, out, [sizes.get(i, 0) for i in range(len(cols))], table)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         for i, (col, out, size) in enumerate(zip(self.cols, self.out, self.sizes, strict=True)):

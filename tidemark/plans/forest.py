@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import fresh
@@ -53,15 +53,16 @@ def binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(rows.tobytes())])
 
 
-def number_cuts(df: DataFrame, columns: Sequence[str]) -> list[list[float]]:
-    """Cuts between the bins of each column: between all values if they are few, else quantiles of all rows and the least value."""
-    if not columns:
-        return []
+def number_cuts(df: DataFrame, columns: Sequence[str], *more: Column) -> tuple[list[list[float]], Row]:
+    """Cuts between the bins of each column: between all values if they are few, else quantiles of all rows and the least value.
+
+    ``more`` aggregates are worked out in the same pass.
+    """
     quoted = {c: F.col(f"`{c}`").cast("double") for c in columns}
     probs = [i / BINS for i in range(1, BINS)]
     facts = [fn(quoted[c]).alias(f"{name}:{c}") for c in columns for name, fn in (("n", F.approx_count_distinct), ("low", F.min), ("high", F.max))]
     facts += [F.percentile_approx(quoted[c], probs, 10_000).alias(f"q:{c}") for c in columns]
-    found = df.agg(*facts).first()
+    found = df.agg(F.lit(1), *facts, *more).first()
     few = [c for c in columns if found[f"n:{c}"] <= 2 * BINS]
     values = df.agg(*[F.array_sort(F.collect_set(quoted[c])).alias(c) for c in few]).first().asDict() if few else {}
     cuts = []
@@ -71,7 +72,7 @@ def number_cuts(df: DataFrame, columns: Sequence[str]) -> list[list[float]]:
             cuts.append([(a + b) / 2 for a, b in zip(own, own[1:], strict=False)])
         else:
             cuts.append(sorted({x for x in (found[f"low:{c}"], *(found[f"q:{c}"] or ())) if x is not None and x < found[f"high:{c}"]}))
-    return cuts
+    return cuts, found
 
 
 def coded(columns: Sequence[str], cuts: list[list[float]], shape: Shape, classes: Sequence[int] = (), label: str | None = None, weight: str | None = None) -> Column:
@@ -175,17 +176,19 @@ class ForestClassifier(Estimator):
         self.min_leaf, self.seed, self.whole_rows = min_leaf, seed, whole_rows
 
     def _fit(self, dataset: DataFrame) -> ForestModel:
-        classes = sorted(int(r[0]) for r in dataset.select(self.label).distinct().collect())  # one row a class
+        # Written, so that the joins of the codes are worked out once.
+        wanted = [*self.numbers, *self.codes, self.label, self.weight]
+        dataset = materialize(dataset.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in wanted]), "forest-input")
+        cuts, facts = number_cuts(dataset, self.numbers, F.collect_set(self.label).alias("classes"), F.count("*").alias("rows"))
+        classes, rows = sorted(map(int, facts["classes"])), facts["rows"]
         if not classes:
             raise ValueError("no rows to learn from")
-        cuts = number_cuts(dataset, self.numbers)
         shape = Shape(tuple(len(c) + 1 for c in cuts), tuple(self.sizes), len(classes))
         code = coded([*self.numbers, *self.codes], cuts, shape, classes, self.label, self.weight)
         chunks = chunks_of(dataset.select(code.alias("row")), shape.training_row.itemsize)
-        rows = chunks.agg(F.sum("n")).first()[0]
         table = self._whole(chunks, shape) if rows <= self.whole_rows else self._far(chunks, shape)
         size = sum((F.length(name) for name in TREE[1:]), F.length(TREE[0]))
-        sizes = [r["size"] for r in table.select("part", size.alias("size")).orderBy("part").collect()]
+        sizes = [r["size"] for r in sorted(table.select("part", size.alias("size")).collect())]
         return ForestModel(self.numbers, self.codes, self.sizes, cuts, classes, self.trees, sizes, table)
 
     def _grower(self, shape: Shape):

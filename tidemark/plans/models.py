@@ -34,7 +34,7 @@ from tidemark.operators.knn import nearest_one
 from tidemark.operators.lookups import unit_district_merge, unit_sector_merge
 from tidemark.operators.quantiles import medians, scalars
 from tidemark.operators.ranking import keyed_hash
-from tidemark.operators.scaling import balanced_weights, fixed_weights
+from tidemark.operators.scaling import fixed_weights
 from tidemark.operators.selection import numeric_and_other
 from tidemark.operators.stats import shares_of_row
 from tidemark.plans.dictionary import CategoryCodes
@@ -108,6 +108,17 @@ def _train_table(df: DataFrame) -> DataFrame:
     return materialize(df, "train")
 
 
+def _weighted_table(df: DataFrame, label: str) -> DataFrame:
+    """Written training rows with balanced weights as literals, so that no later pass counts the classes again."""
+    train = _train_table(df)
+    counts = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}  # one row a class
+    if not counts:
+        raise ValueError("no rows to learn from")
+    share = sum(counts.values()) / len(counts)
+    weights = F.create_map(*[F.lit(x) for value, count in counts.items() for x in (float(value), share / count)])
+    return train.withColumn("_label", F.col(label).cast("double")).withColumn("weight", weights[F.col("_label")])
+
+
 def _fit(df: DataFrame, stages: list) -> PipelineModel:
     return Pipeline(stages=stages).fit(df)
 
@@ -122,8 +133,7 @@ class SevenClassForest:
 
     @classmethod
     def fit(cls, units: DataFrame, size: ForestSize | None = None, label: str = "riskLabel") -> SevenClassForest:
-        train = _train_table(units.na.drop(subset=[label]).drop("weight"))
-        train = balanced_weights(train, label).withColumn("_label", F.col(label).cast("double"))
+        train = _weighted_table(units.na.drop(subset=[label]).drop("weight"), label)
         stages = feature_stages(
             train,
             standard=["easting", "northing", "elevation"],
@@ -163,8 +173,7 @@ class SevenClassProbability:
 
     @classmethod
     def fit(cls, units: DataFrame, districts: DataFrame, size: ForestSize | None = None) -> SevenClassProbability:
-        train = _train_table(probability_features(units, districts).na.drop(subset=["riskLabel"]))
-        train = balanced_weights(train, "riskLabel").withColumn("_label", F.col("riskLabel").cast("double"))
+        train = _weighted_table(probability_features(units, districts).na.drop(subset=["riskLabel"]), "riskLabel")
         base = ["longitude", "latitude", "elevation", "distanceToWatercourse", "medianPrice", "historicallyFlooded"]
         skip = {*ID_COLUMNS, "riskLabel", "weight", "_label", "easting", "northing"}
         numeric, _ = numeric_and_other(train)

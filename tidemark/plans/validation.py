@@ -15,8 +15,12 @@ from tidemark.operators.ranking import stratified_folds
 from tidemark.session import materialize
 
 
-def in_pools(spark: SparkSession, jobs: Sequence[Callable[[], object]], name: str) -> list:
-    """Results of jobs that run at the same time, each in a scheduler pool of its own so that they share the executors evenly."""
+#: Folds that are fitted at the same time: more of them only hold more plans, broadcasts and threads on the driver.
+FOLDS_AT_ONCE = 2
+
+
+def in_pools(spark: SparkSession, jobs: Sequence[Callable[[], object]], name: str, at_once: int | None = None) -> list:
+    """Results of jobs that run at the same time, all or ``at_once`` of them, each in a scheduler pool of its own so that they share the executors evenly."""
 
     def run(numbered: tuple[int, Callable[[], object]]) -> object:
         number, job = numbered
@@ -28,7 +32,7 @@ def in_pools(spark: SparkSession, jobs: Sequence[Callable[[], object]], name: st
 
     if not jobs:
         return []
-    with ThreadPoolExecutor(len(jobs)) as pool:
+    with ThreadPoolExecutor(min(len(jobs), at_once or len(jobs))) as pool:
         return [future.result() for future in [pool.submit(inheritable_thread_target(spark)(run), job) for job in enumerate(jobs)]]
 
 
@@ -43,8 +47,8 @@ def out_of_fold(
 ) -> DataFrame:
     """Predictions for every row from a model that did not see it, with the seconds that its fold took.
 
-    Folds are a column of one written table. The models are fitted at the same
-    time; ``fit_seconds`` and ``predict_seconds`` are wall-clock figures of a
+    Folds are a column of one written table. FOLDS_AT_ONCE models are fitted at the
+    same time; ``fit_seconds`` and ``predict_seconds`` are wall-clock figures of a
     fold that shares the executors with the others.
     """
     folded = materialize(stratified_folds(df, label, key, folds, seed), "folds")
@@ -57,7 +61,7 @@ def out_of_fold(
         done = time.perf_counter()
         return found.withColumns({"fit_seconds": F.lit(fitted - start), "predict_seconds": F.lit(done - fitted)})
 
-    return reduce(DataFrame.unionByName, in_pools(df.sparkSession, [partial(one, i) for i in range(folds)], "fold"))
+    return reduce(DataFrame.unionByName, in_pools(df.sparkSession, [partial(one, i) for i in range(folds)], "fold", FOLDS_AT_ONCE))
 
 
 def compare_models(
